@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import token_digests
-from .common import read_table
+from .common import read_table, remainder
 from .host_rules import host_quality
+from .line_dedup import LineIndex
+from .quality_zstd import fit as fit_quality
 
 #: Where the public tokenizer file lies when no other path is given.
 TOKENIZER = "word_bpe_49k.json"
@@ -25,15 +28,31 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str, tokenizer: str | None =
     return token_digests(read_table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
 
 
+def op6_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from a model learned from the labels outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = fit_quality(docs, read_table(spark, sf_dir, "labels")).score(docs)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts of every document, with the verdict of its host (its source)."""
     found = host_quality(read_table(spark, sf_dir, "documents"), "source")
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document before and after dropping repeated ones, and a digest of what stays."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = LineIndex.build(docs).dedup(docs)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op6_zstd_quality": op6_zstd_quality,
     "op7_host_rules": op7_host_rules,
+    "op8_line_dedup": op8_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -78,5 +97,24 @@ WITH texts AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(rate > 0.8, false) AS kept
 FROM judged LEFT JOIN rates USING (host)
+""",
+    "op8_line_dedup": r"""
+WITH space AS (
+  SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS chars
+), lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT doc_id, i, line, translate(trim(line, chars), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines, space
+), repeated AS (
+  SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, coalesce(k.doc_id <> r.last_doc, false) AS gone FROM keyed k LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
 """,
 }
