@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import token_digests
 from .common import read_table, remainder
+from .decontam import contamination
 from .host_rules import host_quality
 from .line_dedup import LineIndex
 from .quality_zstd import fit as fit_quality
@@ -23,6 +24,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside a 10-word window of a benchmark item, and the items."""
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Encode and decode every document; digests of both."""
     return token_digests(read_table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
@@ -49,6 +58,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontamination": op4_decontamination,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_zstd_quality": op6_zstd_quality,
     "op7_host_rules": op7_host_rules,
@@ -56,6 +66,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM documents
+), items AS (
+  SELECT DISTINCT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS size, array_to_string(words[s:s + least(10, len(words)) - 1], ' ') AS phrase
+  FROM items, unnest(range(1, greatest(len(words) - 10, 0) + 2)) AS t(s) WHERE len(words) > 0 AND item_id IS NOT NULL
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT row_no, size, s, array_to_string(words[s:s + size - 1], ' ') AS phrase
+  FROM docs, sizes, unnest(range(1, len(words) - size + 2)) AS t(s)
+), found AS (
+  SELECT row_no, item_id, p.size, s FROM places p JOIN windows USING (size, phrase)
+), hits AS (
+  SELECT row_no, count(DISTINCT s + k) AS n_hit FROM found, unnest(range(0, size)) AS t(k) GROUP BY row_no
+), named AS (
+  SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT row_no, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY row_no
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row_no) LEFT JOIN named USING (row_no)
+""",
     "op7_host_rules": r"""
 WITH texts AS (
   SELECT row_number() OVER () AS row_no, doc_id, source AS host, coalesce(text, '') AS text FROM documents
