@@ -63,3 +63,26 @@ def ascii_lower(text: Column) -> Column:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "stars") -> DataFrame:
+    """(node, label) with the smallest node reachable, for every node with an edge.
+
+    Large-star and small-star steps alternate until every node hangs on the
+    smallest of its component. Each round is a few shuffles of narrow rows and
+    is written to the shared folder; only two numbers per round reach the driver.
+    """
+    cur = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+    cur = materialize(cur, name)
+    mark = None
+    while True:
+        state = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == mark or not state[0]:
+            return cur.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+        mark = state
+        both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(low, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        cur = materialize(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), name)
