@@ -14,6 +14,7 @@ from .host_rules import host_quality
 from .jaccard_join import near_duplicates
 from .line_dedup import LineIndex
 from .quality_zstd import fit as fit_quality
+from .substring_dedup import drop_repeats
 
 #: Where the public tokenizer file lies when no other path is given.
 TOKENIZER = "word_bpe_49k.json"
@@ -58,6 +59,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without the 50-word windows that an earlier document holds."""
+    found = drop_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle set size of every document and its component of near duplicates."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_zstd_quality": op6_zstd_quality,
     "op7_host_rules": op7_host_rules,
     "op8_line_dedup": op8_line_dedup,
+    "op9_fm_substring_dedup": op9_fm_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
@@ -185,5 +193,26 @@ WITH RECURSIVE words AS (
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, low AS component_id
 FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)
+""",
+    "op9_fm_substring_dedup": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, s, md5(array_to_string(words[s:s + 49], ' ')) AS w FROM words, unnest(range(1, len(words) - 48)) AS t(s)
+), late AS (
+  SELECT doc_id, s FROM windows QUALIFY min(doc_id) OVER (PARTITION BY w) < doc_id
+), cut AS (
+  SELECT DISTINCT doc_id, s + k AS i FROM late, unnest(range(0, 50)) AS t(k)
+), cuts AS (
+  SELECT doc_id, list(i) AS places FROM cut GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, i, words[i] AS word FROM words w, unnest(range(1, len(words) + 1)) AS t(i)
+  WHERE NOT EXISTS (SELECT 1 FROM cut c WHERE c.doc_id = w.doc_id AND c.i = t.i)
+), joined AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM kept GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM words w LEFT JOIN cuts c USING (doc_id) LEFT JOIN joined j USING (doc_id)
 """,
 }
