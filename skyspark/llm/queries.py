@@ -12,6 +12,7 @@ from .common import read_table, remainder
 from .decontam import contamination
 from .host_rules import host_quality
 from .jaccard_join import near_duplicates
+from .langid import fit as fit_languages
 from .line_dedup import LineIndex
 from .quality_zstd import fit as fit_quality
 from .substring_dedup import drop_repeats
@@ -26,6 +27,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from a network trained on the documents outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = fit_languages(docs).predict(docs)
+    return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside a 10-word window of a benchmark item, and the items."""
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -71,6 +79,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_zstd_quality": op6_zstd_quality,
