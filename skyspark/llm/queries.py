@@ -11,6 +11,7 @@ from .bpe import token_digests
 from .common import read_table, remainder
 from .decontam import contamination
 from .host_rules import host_quality
+from .html_extract import fit as fit_pages
 from .jaccard_join import near_duplicates
 from .langid import fit as fit_languages
 from .line_dedup import LineIndex
@@ -34,6 +35,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages")
+    return fit_pages(pages).extract(pages)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside a 10-word window of a benchmark item, and the items."""
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -80,6 +87,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_html_extraction": op2_html_extraction,
     "op4_decontamination": op4_decontamination,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_zstd_quality": op6_zstd_quality,
