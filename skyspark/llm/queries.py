@@ -14,6 +14,7 @@ from .host_rules import host_quality
 from .html_extract import fit as fit_pages
 from .jaccard_join import near_duplicates
 from .langid import fit as fit_languages
+from .license_scan import fit as fit_licenses
 from .line_dedup import LineIndex
 from .quality_zstd import fit as fit_quality
 from .substring_dedup import drop_repeats
@@ -41,6 +42,12 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_pages(pages).extract(pages)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License families stated in every document, and the paragraphs that state one."""
+    docs = read_table(spark, sf_dir, "documents")
+    return fit_licenses(docs).documents(docs)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside a 10-word window of a benchmark item, and the items."""
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -88,6 +95,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_html_extraction": op2_html_extraction,
+    "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_zstd_quality": op6_zstd_quality,
