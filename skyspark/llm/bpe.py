@@ -65,13 +65,16 @@ class TokenAutomaton:
         self.taken: dict[int, dict[int, int]] = {}  # token -> arcs its own gadgets took from its state, with the merge
         self.state: dict[int, int] = {}  # token -> number of its target state
         self.sharing: dict[int, int] = {0: len(ids)}
+        self.dead: set[int] = set()  # tokens whose merge never finds its pair
+        self.edges: dict[int, list[tuple[int, int]]] = {}
+        self.chains: dict[int, list[tuple[int, int]]] = {}
         for number, (u, v) in enumerate(merges, 1):
             self._gadget(number, ids[inner(u)], ids[inner(v)], ids[inner(u) + inner(v)])
-        self.edges = {t: self._edge(t, self.left) for t in self.labels}
-        self.chains = {t: [(self.taken[x], n) for x, n in self._edge(t, self.right) if x in self.taken] for t in self.labels}
         self.longest = max(map(len, ids))
         self.trie: dict = {}  # character -> node; under None, the token whose label ends here and its length
         for label, token in ids.items():
+            if token in self.dead:
+                continue
             node = self.trie
             for c in label:
                 node = node.setdefault(c, {})
@@ -79,7 +82,14 @@ class TokenAutomaton:
         self.allowed: dict[int, bool] = {}  # transition table, filled as arcs are met
 
     def _gadget(self, number: int, u: int, v: int, w: int) -> None:
+        if u in self.dead or v in self.dead or not self._has_arc(u, v):
+            if w not in self.made:
+                self.dead.add(w)
+            return
         if w not in self.made:
+            self.dead.discard(w)
+            self.edges.pop(w, None)
+            self.chains.pop(w, None)
             self.left[w], self.right[w], self.made[w] = u, v, number
             self.state[w] = target = self.state.get(v, 0)  # where v leads before this merge takes anything
             self.sharing[target] += 1
@@ -109,12 +119,19 @@ class TokenAutomaton:
         the merges to look at are those along the right edge of ``last``; an
         arc went if a part on its left edge went before the next part was made.
         """
-        edge = self.edges[token]
-        for taken, seen in self.chains[last]:
-            for part, used in edge:
-                at = taken.get(part)
-                if at is not None and at < seen and at < used:
-                    return False
+        edge = self.edges.get(token)
+        if edge is None:
+            edge = self.edges[token] = self._edge(token, self.left)
+        chain = self.chains.get(last)
+        if chain is None:
+            chain = self.chains[last] = self._edge(last, self.right)
+        for part_of_last, seen in chain:
+            taken = self.taken.get(part_of_last)
+            if taken is not None:
+                for part, used in edge:
+                    at = taken.get(part)
+                    if at is not None and at < seen and at < used:
+                        return False
         return True
 
     def _arcs(self, text: str, at: int) -> list[tuple[int, int]]:

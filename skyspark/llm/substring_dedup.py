@@ -177,7 +177,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     asked = places.join(shared, "anchor").select("doc_id", "seq", F.struct("place", "anchor", "first_doc", (F.col("n") > HOT_ANCHOR).alias("hot")).alias("x"))
     asked = materialize(asked.groupBy("doc_id", "seq").agg(F.collect_list("x").alias("shared")), "anchor-asked")  # a document's own anchors
     texts = _picked(docs).join(small_side(asked.select("doc_id").distinct()), "doc_id", "left_semi")
-    segments = _cut(texts.join(asked, "doc_id").dropDuplicates(["doc_id", "seq"]), shards, window)
+    segments = _cut(texts.join(asked, "doc_id"), shards, window)
     segments = materialize(segments, "segments")
     found = segments.filter(F.col("shard") >= 0).groupBy("shard").applyInPandas(lambda rows: _search(rows, window), "doc_id long, seq binary, lo int, hi int")
     hot = segments.filter(F.col("shard") < 0).select("doc_id", "seq", "hash", F.col("start").alias("lo"))
