@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize, small_side
+from .common import ASCII_SPACE, materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -233,7 +233,7 @@ class LineIndex:
         drops = self.droppable(self.refs).groupBy("doc_id").agg(F.collect_list("key").alias("drop_keys"))  # at most a document's own lines
         drops = materialize(drops, "line-drops").select(F.col("doc_id").alias("_line_doc"), F.col("drop_keys").alias("_line_drops"))
         docs = docs.drop("n_lines", "n_dropped")
-        joined = docs.join(small_side(drops, limit=20_000), docs["doc_id"].cast("long") == F.col("_line_doc"), "left").drop("_line_doc")
+        joined = docs.join(drops, docs["doc_id"].cast("long") == F.col("_line_doc"), "left").drop("_line_doc")
         min_chars = self.min_chars
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
