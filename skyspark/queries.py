@@ -15,7 +15,7 @@ from .operators.dedupe import newest_per_locus
 from .schema import ALERT_BAND, ALERT_MAG, ID, MAG, MJD, OBS
 from .sources import storage, tables
 from .sources.chunk_cache import ChunkCache
-from .sources.raw import flatten_loci, parse_properties
+from .sources.raw import flatten_loci, malformed_count, parse_properties
 from .sources.snapshots import load_snapshot, save_snapshot, snapshot_key
 from .sources.store import CumulativeStore
 from .streaming.upsert import start_upsert
@@ -55,6 +55,13 @@ def flatten_properties(spark: SparkSession, d: str) -> DataFrame:
     return flatten_loci(parsed).select(ID, "tags", MJD, MAG, "ingest_seq", "k")
 
 
+def malformed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows read and rejected, some of them with broken JSON."""
+    records = tables.raw_records(spark, d)
+    broken = F.when(F.col("ingest_seq") % 50 == 0, F.concat(F.lit("{"), "properties")).otherwise(F.col("properties"))
+    return malformed_count(parse_properties(records.withColumn("properties", broken), "k bigint"))
+
+
 def newest_first_topn(spark: SparkSession, d: str) -> DataFrame:
     """L1."""
     return sample.newest_first(ranges.window_scan(tables.loci(spark, d), HISTORY[1], HISTORY[2]), SAMPLE).select(ID, MJD)
@@ -274,7 +281,7 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        window_scan_closed, window_scan_half_open, tag_filter, tag_contains, flatten_properties, newest_first_topn, seeded_sample_topn, first_loci,
+        window_scan_closed, window_scan_half_open, tag_filter, tag_contains, flatten_properties, malformed_rows, newest_first_topn, seeded_sample_topn, first_loci,
         two_range_label, alerts_for_sample, band_counts, dedupe_newest, dedupe_null_time, cumulative_upsert, cumulative_range_read, store_stats,
         fixed_chunks, fixed_chunk_counts, adaptive_chunk_report, chunk_status_counts, adaptive_pull, chunk_keys, mjd_to_dates, sky_wrap,
         sky_density_2d, mag_hist_by_band, mag_hist_all, mag_hist_fallback, range_summary, range_config, range_overlap, dq_suite, dq_verdict,
@@ -409,6 +416,7 @@ ORACLE_SQL: dict[str, str] = {
     "tag_filter": _with(_LOCI) + f"SELECT {ID}, tags FROM loci WHERE list_contains(tags_arr, '1-URGENT')",
     "tag_contains": _with(_LOCI) + "SELECT tags, count(*) AS n FROM loci WHERE contains(tags, 'URG') GROUP BY tags",
     "flatten_properties": _with(_RAW) + f"SELECT {ID}, tag AS tags, {MJD}, {MAG}, ingest_seq, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM raw",
+    "malformed_rows": "SELECT count(*) AS n_rows, count(*) FILTER (event_id % 50 = 0) AS n_malformed FROM events",
     "newest_first_topn": _with(_LOCI) + f"SELECT {ID}, {MJD} FROM loci WHERE {MJD} BETWEEN {HISTORY[1]} AND {HISTORY[2]} ORDER BY {MJD} DESC, {ID} LIMIT {SAMPLE}",
     "seeded_sample_topn": _with(_LOCI, _RANGES, _LABELLED, _SAMPLED) + f"SELECT range_label, {ID}, {MJD} FROM sampled",
     "first_loci": _with(_LOCI) + f"SELECT {ID}, {MJD} FROM loci ORDER BY {ID} LIMIT {SAMPLE}",
