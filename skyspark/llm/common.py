@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.storage import new_folder
+
 #: The ASCII white space the contracts name: blank, tab, \n, \v, \f, \r.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -17,23 +16,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_ROWS = 500_000
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is ``spark.checkpoint.dir``; where that is unset (tests, a notebook) a
-    temporary folder takes its place and is kept in the session's settings.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("skyspark.scratch.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("skyspark.scratch.dir", base)
-    return base.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -41,7 +23,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     consumers read a result that was computed once.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

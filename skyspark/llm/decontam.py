@@ -24,7 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, scratch_path, small_side
+from ..sources.storage import new_folder
+from .common import ascii_lower, materialize, small_side
 
 #: Words before lower-casing: digits, A-Z, a-z and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -62,7 +63,7 @@ class PositionalIndex:
             F.when(head, F.col("doc_id")).alias("doc_id"),
             F.when(head, F.col("n")).otherwise(F.col("at") - 1).alias("pos"),
         )
-        path = path or scratch_path(spark, "postings")
+        path = path or new_folder(spark, "postings")
         postings.sortWithinPartitions("term").write.option("compression", "zstd").parquet(path)
         return cls.open(spark, path)
 
