@@ -8,9 +8,21 @@ from pyspark.sql import functions as F
 from ..schema import ALERT_BAND, ID, bands
 
 
-def alerts_for(loci: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Alerts of the loci with the loci's range label. Loci without alerts drop out; a locus listed twice gives its alerts twice."""
-    return loci.select(ID, "range_label").join(alerts.drop("range_label"), ID)
+#: Loci up to which a sample of known size is sent to every task rather than shuffled with the alerts.
+BROADCAST_LOCI = 500_000
+
+
+def alerts_for(loci: DataFrame, alerts: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Alerts of the loci with the loci's range label. Loci without alerts drop out; a locus listed twice gives its alerts twice.
+
+    ``at_most`` is a bound on the loci that the caller knows, such as a sample's
+    size. A bound of no more than BROADCAST_LOCI lets the alerts, the large side,
+    stay where they are; otherwise both sides are shuffled.
+    """
+    ids = loci.select(ID, "range_label")
+    if at_most is not None and at_most <= BROADCAST_LOCI:
+        ids = F.broadcast(ids)
+    return alerts.drop("range_label").join(ids, ID)
 
 
 def with_band(df: DataFrame, known_only: bool = False) -> DataFrame:

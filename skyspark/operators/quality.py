@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.sky import coordinate_ok
 from ..schema import ALERT_MAG, ID, MJD
 from .ranges import tag_contains
-from .summary import range_overlap
+from .summary import shared_ids
 
 #: Tolerance of the window check in days, first day of the survey's era, greatest share before it.
 MJD_TOLERANCE = 0.02
@@ -93,7 +93,7 @@ def _overlap_checks(loci: DataFrame, ranges: DataFrame) -> DataFrame:
     one, two = (ranges.filter(F.col("range_no") == k).select(F.col("label").alias(f"l{k}"), F.col("mjd_min").alias(f"lo{k}"), F.col("mjd_max").alias(f"hi{k}")) for k in (1, 2))
     pair = one.join(F.broadcast(two))  # one row
     labelled = loci.join(F.broadcast(pair), F.col("range_label").isin(F.col("l1"), F.col("l2"))).select(ID, (F.col("range_label") == F.col("l1")).alias("first"))
-    shared = range_overlap(labelled.filter("first"), labelled.filter("NOT first"))
+    shared = shared_ids(labelled)
     row = pair.join(F.broadcast(shared))
     disjoint = (F.col("lo1") >= F.col("hi2")) | (F.col("lo2") >= F.col("hi1"))
     known = (F.col("n1") > 0) & (F.col("n2") > 0)

@@ -38,7 +38,12 @@ def range_overlap(first: DataFrame, second: DataFrame) -> DataFrame:
 
     One shuffle of both id sets: an id is shared if both sides list it.
     """
-    both = first.select(ID, F.lit(1).alias("side")).unionByName(second.select(ID, F.lit(2).alias("side")))
-    sides = both.groupBy(ID).agg(F.bool_or(F.col("side") == 1).alias("one"), F.bool_or(F.col("side") == 2).alias("two"))
-    counted = sides.agg(F.count_if("one").alias("n1"), F.count_if("two").alias("n2"), F.count_if(F.col("one") & F.col("two")).alias("n_shared"))
+    sides = first.select(ID, F.lit(True).alias("first")).unionByName(second.select(ID, F.lit(False).alias("first")))
+    return shared_ids(sides)
+
+
+def shared_ids(sides: DataFrame) -> DataFrame:
+    """The same for one frame of ids with a boolean ``first``."""
+    by_id = sides.groupBy(ID).agg(F.bool_or("first").alias("one"), F.bool_or(~F.col("first")).alias("two"))
+    counted = by_id.agg(F.count_if("one").alias("n1"), F.count_if("two").alias("n2"), F.count_if(F.col("one") & F.col("two")).alias("n_shared"))
     return counted.withColumn("pct", F.coalesce(F.try_divide(F.col("n_shared"), F.least("n1", "n2")) * 100, F.lit(0.0)))

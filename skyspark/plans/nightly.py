@@ -44,7 +44,7 @@ def sampled_comparison(loci: DataFrame, alerts: DataFrame, ranges: list[Range],
     """A sample of each range and its alerts."""
     require_valid(ranges)
     sample = sample_ranges(loci, ranges, n, seed, tag)
-    return Comparison(sample, alerts_for(sample, alerts), ranges)
+    return Comparison(sample, alerts_for(sample, alerts, n * len(ranges)), ranges)
 
 
 def nightly_ingest(loci: DataFrame, alerts: DataFrame, store: CumulativeStore, night: Range, history: Range, tie: list[str], **plan) -> tuple[Comparison, DataFrame, UpsertStats]:

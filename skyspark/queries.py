@@ -85,7 +85,7 @@ def two_range_label(spark: SparkSession, d: str) -> DataFrame:
 def alerts_for_sample(spark: SparkSession, d: str) -> DataFrame:
     """S3, J1, L3, P13."""
     chosen = sample.sample_ranges(tables.loci(spark, d), RANGES, SAMPLE, SEED)
-    return al.alerts_for(chosen, tables.alerts(spark, d)).select("range_label", ID, ALERT_BAND, ALERT_MAG)
+    return al.alerts_for(chosen, tables.alerts(spark, d), SAMPLE * len(RANGES)).select("range_label", ID, ALERT_BAND, ALERT_MAG)
 
 
 def _all_alerts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -192,7 +192,7 @@ def sky_density_2d(spark: SparkSession, d: str) -> DataFrame:
 def mag_hist_by_band(spark: SparkSession, d: str) -> DataFrame:
     """G11, J6, over seeded samples: scan, window, sample, join, bins (the flagship)."""
     chosen = sample.sample_ranges(tables.loci(spark, d), RANGES, SAMPLE, SEED)
-    return density.magnitude_histogram(al.alerts_for(chosen, tables.alerts(spark, d)))
+    return density.magnitude_histogram(al.alerts_for(chosen, tables.alerts(spark, d), SAMPLE * len(RANGES)))
 
 
 def mag_hist_all(spark: SparkSession, d: str) -> DataFrame:
@@ -246,7 +246,7 @@ def snapshot_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """A sample and its alerts, with one member empty, saved and loaded."""
     chosen = sample.sample_ranges(tables.loci(spark, d), RANGES, SAMPLE, SEED)
     folder = f"{storage.new_folder(spark, 'snapshots')}/{snapshot_key(spark, RANGES, SAMPLE, seed=SEED)}"
-    found = al.alerts_for(chosen, tables.alerts(spark, d)).select("range_label", ID, ALERT_BAND, ALERT_MAG)
+    found = al.alerts_for(chosen, tables.alerts(spark, d), SAMPLE * len(RANGES)).select("range_label", ID, ALERT_BAND, ALERT_MAG)
     save_snapshot(folder, {"loci": chosen.select(CORE), "alerts": found, "none": found.filter("false")})
     ddl = f"range_label string, {ID} string, {ALERT_BAND} int, {ALERT_MAG} double"
     loaded = load_snapshot(spark, folder, {"loci": "", "alerts": ddl, "none": ddl})
