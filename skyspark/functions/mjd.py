@@ -27,5 +27,8 @@ def mjd_to_date(mjd: Column) -> Column:
 
 def timestamp_to_mjd(ts: Column) -> Column:
     """MJD of a timestamp without time zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    local = ts.cast("timestamp_ntz")
+    days = F.datediff(local.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = F.hour(local).cast("long") * 3600 + F.minute(local) * 60
+    micros = (days * 86400 + seconds) * 1000000 + (F.extract(F.lit("SECOND"), local) * 1000000).cast("long")
     return F.lit(UNIX_EPOCH) + micros / F.lit(86400000000.0)

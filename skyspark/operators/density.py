@@ -62,6 +62,7 @@ def magnitude_series(loci: DataFrame, alerts: DataFrame, lo: float = 15.0, hi: f
 
 def _all_bins(counted: DataFrame, series: list[str], low, high, bins: int) -> DataFrame:
     """Every bin of each series that has a row, with its lower edge and the series' size."""
-    spine = counted.groupBy(*series).agg(F.sum("n").alias("n_series")).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    filled = spine.join(counted, [*series, "bin"], "left")
-    return filled.select(*series, "bin", bin_edge(F.col("bin"), low, high, bins).alias("edge"), F.coalesce("n", F.lit(0).cast("long")).alias("n"), "n_series")
+    by_series = counted.groupBy(*series).agg(F.sum("n").alias("n_series"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"))  # at most ``bins`` entries
+    filled = by_series.select(*series, "n_series", "counts", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    n = F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0).cast("long"))
+    return filled.select(*series, "bin", bin_edge(F.col("bin"), low, high, bins).alias("edge"), n.alias("n"), "n_series")

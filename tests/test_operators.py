@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyspark import schema
-from skyspark.functions.mjd import mjd_to_date
+from skyspark.functions.mjd import mjd_to_date, timestamp_to_mjd
 from skyspark.functions.sky import coordinate_ok, wrapped_radians
 from skyspark.functions.text import join_tags, mjd_part, safe_part
 from skyspark.operators import alerts as al
@@ -92,6 +92,17 @@ def test_keys_and_dates(spark):
     assert row.f == math.pi and abs(row.g + math.pi / 2) < 1e-12
 
 
+def test_mjd_does_not_depend_on_the_session_zone(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.25' AS ts")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            assert df.select(timestamp_to_mjd(F.col("ts"))).first()[0] == 40587.0 + 1710037800250000 / 86400000000.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_samples_repeat_and_ignore_partitioning(spark):
     df = points(spark, [float(i) for i in range(500)])
     ids = lambda d: [r[ID] for r in d.collect()]
