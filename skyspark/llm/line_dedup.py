@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize
+from .common import ASCII_SPACE, materialize, small_side
 
 MIN_CHARS = 20
 MIN_DOCS = 3
 #: Repeated keys that a shard is laid out for.
 KEYS_PER_SHARD = 100_000
-#: Filters are sent to every task only while their counted bytes stay within this; beyond it the exact join does without them.
-MAX_FILTER_BYTES = 32 << 20
+#: Rows that meet a filter in one group.
+GROUP_ROWS = 500_000
 _STRIP = ASCII_SPACE.encode()
 
 
@@ -205,25 +205,18 @@ class LineIndex:
         return hits.join(self.repeated.select("key", "last_doc"), "key").filter(F.col("doc_id") < F.col("last_doc")).select("key", "doc_id")
 
     def _filtered(self, refs: DataFrame) -> DataFrame:
-        size = self.filters.agg(F.sum(F.length("data"))).first()[0] or 0
-        if size > MAX_FILTER_BYTES:
-            return refs
-        shards, tables = self.shards, {r.shard: bytes(r.data) for r in self.filters.collect()}
-        sent = refs.sparkSession.sparkContext.broadcast(tables)
+        """The rows whose key passes its shard's filter.
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            made = {k: CuckooFilter.from_bytes(v) for k, v in sent.value.items()}
-            for batch in batches:
-                keys = batch.column(0).to_pylist()
-                where = np.array([int.from_bytes(k[:4], "big") % shards for k in keys], np.int64)
-                hit = np.zeros(len(keys), bool)
-                for shard in np.unique(where).tolist() if len(keys) else ():
-                    at = np.flatnonzero(where == shard)
-                    if shard in made:
-                        hit[at] = made[shard].contains([keys[i] for i in at])
-                yield batch.filter(pa.array(hit))
-
-        return refs.select("key", "doc_id").mapInArrow(run, "key binary, doc_id long")
+        Rows meet their filter by shuffle, and filters never pass through the
+        driver. A shard with many rows (a hot key is in one) is dealt to as many
+        groups as it needs, each with a copy of its small filter.
+        """
+        placed = refs.select("key", "doc_id", shard_of(F.col("key"), self.shards).alias("shard"))
+        groups = F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(GROUP_ROWS))).cast("long")
+        sizes = materialize(placed.groupBy("shard").agg(groups.alias("groups")), "line-groups")  # a row for each shard
+        dealt = placed.join(small_side(sizes), "shard").select("key", "doc_id", "shard", F.pmod(F.xxhash64("doc_id"), F.col("groups")).alias("part"))
+        copies = self.filters.join(small_side(sizes), "shard").select("shard", "data", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"))
+        return dealt.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part")).applyInPandas(_probe_shard, "key binary, doc_id long")
 
     def dedup(self, docs: DataFrame) -> DataFrame:
         """``docs`` with text cut to the lines that stay, n_lines (before) and n_dropped.
@@ -264,6 +257,13 @@ def _build_shard(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "data": [made.to_bytes()]})
 
 
+def _probe_shard(lines: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    if not len(lines) or not len(held):  # no rows, or no repeated key in the shard
+        return lines.iloc[:0].reindex(columns=["key", "doc_id"])
+    hit = CuckooFilter.from_bytes(held["data"].iloc[0]).contains([bytes(k) for k in lines["key"]])
+    return lines.loc[hit, ["key", "doc_id"]]
+
+
 def _update_shard(change: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
     """Delete and insert what changed; a table that gets too full is built again from the exact keys."""
     shard = change["shard"].iloc[0] if len(change) else held["shard"].iloc[0]

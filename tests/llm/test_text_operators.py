@@ -78,7 +78,9 @@ def found_lines(index, docs):
     return sorted((null(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in index.dedup(docs).collect())
 
 
-def test_line_dedup(awkward, awkward_docs):
+@pytest.mark.parametrize("group_rows", [500_000, 2])
+def test_line_dedup(awkward, awkward_docs, monkeypatch, group_rows):
+    monkeypatch.setattr(line_dedup, "GROUP_ROWS", group_rows)  # 2: shards are dealt to several groups
     assert found_lines(line_dedup.LineIndex.build(awkward_docs), awkward_docs) == expected_lines(awkward)
 
 
