@@ -33,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: Words kept in a worker's cache before the older half goes.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: Entries of the transition table before it is emptied.
-MAX_TRANSITIONS = 1_000_000
+MAX_TRANSITIONS = 250_000
 RESULT_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 ENCODED_SCHEMA = "doc_id long, ids array<int>, decoded string"
 
@@ -291,7 +293,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, sha = tokenizer(path), hashlib.sha256
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids, decoded = [], [], []
             for text in batch.column(1):
                 n, i, t = bpe.encode(text.as_py())
@@ -308,7 +310,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids, decoded = [], []
             for text in batch.column(1):
                 ids.append([int(x) for x in bpe.encode(text.as_py())[1].split()])

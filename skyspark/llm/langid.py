@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import remainder, slices
 
 UNKNOWN = "und"
 STEPS = 64
@@ -195,7 +195,7 @@ class LanguageModel:
         model = self
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 langs, scores = model.label([x.as_py() for x in batch.column(1)])
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -246,7 +246,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = S
     numbers = {lang: k for k, lang in enumerate(languages)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, counts, owner = windows([(x.as_py() or "").encode("utf-8", "surrogatepass") for x in batch.column(1)])
             langs, ids = batch.column(2).to_pylist(), batch.column(0).to_pylist()
             columns = [[r.tobytes() for r in rows], counts, [numbers[langs[i]] for i in owner], [ids[i] for i in owner], np.arange(len(rows))]

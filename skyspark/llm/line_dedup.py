@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize, small_side
+from .common import ASCII_SPACE, materialize, slices, small_side
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -140,7 +140,7 @@ def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(key, doc_id) for the distinct countable lines of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 lines = (text.as_py() or "").encode("utf-8", "surrogatepass").split(b"\n")
@@ -230,7 +230,7 @@ class LineIndex:
         min_chars = self.min_chars
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 kept, total, dropped = [], [], []
                 for text, drop in zip(batch.column("text"), batch.column("_line_drops")):
                     text, gone = text.as_py() or "", drop.as_py()

@@ -12,7 +12,7 @@ _SHIFT = np.uint64(29)
 class WordHashes(dict):
     """64-bit hash of each word met, emptied when it has grown too large."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
