@@ -181,8 +181,9 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     segments = materialize(segments, "segments")
     found = segments.filter(F.col("shard") >= 0).groupBy("shard").applyInPandas(lambda rows: _search(rows, window), "doc_id long, seq binary, lo int, hi int")
     hot = segments.filter(F.col("shard") < 0).select("doc_id", "seq", "hash", F.col("start").alias("lo"))
-    earliest = hot.groupBy("hash").agg(F.min("doc_id").alias("first"))
-    late = hot.join(earliest, "hash").filter(F.col("doc_id") > F.col("first")).select("doc_id", "seq", "lo", (F.col("lo") + window).alias("hi"))
+    seen = hot.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last_doc")).filter(F.col("first") < F.col("last_doc"))
+    seen = materialize(seen.select("hash", "first"), "hot-windows")  # windows that repeat, one row each: seldom many, so the hot side need not be dealt by hash
+    late = hot.join(small_side(seen), "hash").filter(F.col("doc_id") > F.col("first")).select("doc_id", "seq", "lo", (F.col("lo") + window).alias("hi"))
     whole = copies.select("doc_id", "seq", F.lit(0).alias("lo"), F.lit(None).cast("int").alias("hi"))
     return found.unionByName(late).unionByName(whole)
 
