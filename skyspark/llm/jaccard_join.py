@@ -237,8 +237,9 @@ def product_links(sets: list[np.ndarray], percent: int = PERCENT, every: bool =
             if every:
                 links += [(x, y, int(overlap[k, y])) for y in partners.tolist() if y > x]
         done[block] = True
-        largest = np.bincount(label).argmax()
-        left = np.flatnonzero(wanted & ~done & (every | (label != largest)))
+        outside = label != np.bincount(label).argmax()
+        # a row of the largest component may only be skipped if all rows it could still be linked to are multiplied or in it
+        left = np.flatnonzero(wanted & ~done & (every | outside | (outside & ~wanted).any()))
         room = min(len(left), max(1, 16_000_000 // m), int(np.searchsorted(np.cumsum(work[left]), 8_000_000)) + 1)
         block = left[:room]
     return label, links
@@ -315,7 +316,9 @@ def _tiled_blocks(blocks: DataFrame, sizes: DataFrame, percent: int, every: bool
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     asked = rows if every else rows.filter(~F.col("core"))
     left = asked.select("block", F.col("tile").alias("i"), other.alias("j"), "doc_id", "shingles", F.lit(True).alias("asks"))
-    right = rows.select("block", other.alias("i"), F.col("tile").alias("j"), "doc_id", "shingles", F.lit(False).alias("asks"))
+    right = rows.select("block", other.alias("i"), F.col("tile").alias("j"), "doc_id", "shingles", F.lit(False).alias("asks"), "core")
+    # in the cell of a tile with itself the rows that ask are there already
+    right = right.filter((F.col("i") != F.col("j")) | (F.col("core") & F.lit(not every))).drop("core")
     cells = left.unionByName(right).withColumn("cell", F.xxhash64("block", "i", "j"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -220,6 +220,16 @@ def test_product_equals_set_intersections():
     assert {(int(min(i, j)), int(max(i, j)), o) for i, j, o in links} == want
 
 
+def test_product_of_some_rows_finds_links_to_the_others():
+    full = np.arange(100, dtype=np.uint64)
+    x, y = full[:90], full[:75]
+    sets = [full, full[:99], full[:98], x, y]  # Z, Z', Z'' and X ask, Y does not
+    near = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    assert [near(s, y) for s in sets] == [False, False, False, True, True] and all(near(a, b) for a, b in itertools.combinations(sets[:4], 2))
+    label, _ = jaccard_join.product_links(sets, rows=np.array([True, True, True, True, False]))
+    assert len(set(label.tolist())) == 1
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
