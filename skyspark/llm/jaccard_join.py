@@ -203,10 +203,10 @@ def _rarest(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def product_links(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False, rows: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Component label of each set, and with ``every`` all links as (i, j, overlap), i < j.
+    """Component label of each set, and with ``every`` all links as (i, j, overlap), i multiplied.
 
-    ``rows``: which sets are multiplied with all others; all by default. The
-    product is formed for a few rows at a time from the columns' postings.
+    ``rows``: which sets are multiplied with all others; all by default. A link
+    between two of them is given once, with i < j. The product is formed for a few rows at a time from the columns' postings.
     """
     m = len(sets)
     sizes = np.array(list(map(len, sets)), np.int64)
@@ -235,7 +235,7 @@ def product_links(sets: list[np.ndarray], percent: int = PERCENT, every: bool =
             if len(merged) > 1:
                 label[np.isin(label, merged)] = merged[0]
             if every:
-                links += [(x, y, int(overlap[k, y])) for y in partners.tolist() if y > x]
+                links += [(x, y, int(overlap[k, y])) for y in partners.tolist() if y > x or not wanted[y]]
         done[block] = True
         outside = label != np.bincount(label).argmax()
         # a row of the largest component may only be skipped if all rows it could still be linked to are multiplied or in it

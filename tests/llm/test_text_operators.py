@@ -230,6 +230,12 @@ def test_product_of_some_rows_finds_links_to_the_others():
     assert len(set(label.tolist())) == 1
 
 
+def test_product_of_some_rows_gives_links_in_either_order():
+    sets = [np.arange(n, dtype=np.uint64) for n in (99, 100, 98, 97)]
+    _, links = jaccard_join.product_links(sets, every=True, rows=np.array([False, True, True, False]))
+    assert {(int(i), int(j), o) for i, j, o in links} == {(1, 0, 99), (1, 2, 98), (1, 3, 97), (2, 0, 98), (2, 3, 97)} and len(links) == 5
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
