@@ -189,7 +189,7 @@ def _send_counts(rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
 
 
 def _rarest(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """The prefix of each class: its rarest shingles, of which those in other classes too are returned."""
+    """The prefix of each row: its rarest shingles, of which those in other classes too are returned."""
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in rows["ids"]])
     keys = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]])
     df = np.concatenate([np.frombuffer(x, np.uint16) for x in rows["df"]])
@@ -199,7 +199,7 @@ def _rarest(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     place = np.arange(len(ids)) - np.repeat(start, size)
     size = np.repeat(size, size)
     keep = (place < size - -(-percent * size // 100) + 1) & (df > 1)
-    return pd.DataFrame({"shingle": keys[keep].view(np.int64), "doc_id": ids[keep], "n": size[keep].astype(np.int64)})
+    return pd.DataFrame({"shingle": keys[keep].view(np.int64), "row": ids[keep], "n": size[keep].astype(np.int64)})
 
 
 def product_links(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False, rows: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -352,24 +352,31 @@ def class_links(docs: DataFrame, sizes: DataFrame, classes: DataFrame, size: int
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [shingle_set(x.as_py(), size) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, found)), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["doc_id", "n", "shingles"])
-
-    kept = representatives.join(small_side(survivors), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, n long, shingles binary")
-    kept = materialize(kept.filter(F.col("n") > 0), "jaccard-sets")
+            packed = [s.tobytes() for s in found]
+            hashes = [xxhash.xxh3_128_digest(s) for s in packed]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary()), pa.array(list(map(len, found)), pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "set_hash", "n", "shingles"])
+
+    kept = representatives.join(small_side(survivors), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, set_hash binary, n long, shingles binary")
+    # numbered, as a doc_id may come with several sets, and once written the numbers stay; of rows with one set the representative's is left
+    kept = materialize(kept.filter(F.col("n") > 0).withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
+    repeated = kept.groupBy("set_hash").agg(F.min(F.struct("doc_id", "row")).getField("row").alias("first"), F.count("*").alias("times")).filter("times > 1")
+    repeated = materialize(repeated.select("set_hash", "first"), "jaccard-repeated")
+    extra = materialize(kept.select("set_hash", "row").join(small_side(repeated), "set_hash").filter(F.col("row") != F.col("first")).select("row"), "jaccard-extra")
+    kept = kept.join(small_side(extra), "row", "left_anti")
     left = kept.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-left // BLOCK_ENTRIES))
 
     def from_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _blocks(batches, lambda b: zip(b.column(0).to_pylist(), (np.frombuffer(x.as_py(), np.uint64) for x in b.column(1))), parts, True)
 
-    counted = kept.select("doc_id", "shingles").mapInArrow(from_sets, _BLOCK_SCHEMA).groupBy("shard").applyInPandas(lambda rows: _send_counts(rows, parts), "bucket long, ids binary, keys binary, df binary")
-    prefix = counted.groupBy("bucket").applyInPandas(lambda rows: _rarest(rows, percent), "shingle long, doc_id long, n long")
+    counted = kept.select("row", "shingles").mapInArrow(from_sets, _BLOCK_SCHEMA).groupBy("shard").applyInPandas(lambda rows: _send_counts(rows, parts), "bucket long, ids binary, keys binary, df binary")
+    prefix = counted.groupBy("bucket").applyInPandas(lambda rows: _rarest(rows, percent), "shingle long, row long, n long")
     # sorted by size, members of a list whose sizes allow a link are joined by a chain of neighbours that allow one
-    by_size = Window.partitionBy("shingle").orderBy("n", "doc_id")
-    chain = prefix.select(F.col("doc_id").alias("a"), "n", F.lag("doc_id").over(by_size).alias("b"), F.lag("n").over(by_size).alias("m"))
+    by_size = Window.partitionBy("shingle").orderBy("n", "row")
+    chain = prefix.select(F.col("row").alias("a"), "n", F.lag("row").over(by_size).alias("b"), F.lag("n").over(by_size).alias("m"))
     chain = chain.filter((100 * F.col("m") >= percent * F.col("n")) & (F.col("a") != F.col("b"))).select("a", "b").distinct()
-    labels = connected_components(chain, name="jaccard-blocks").select(F.col("node").alias("doc_id"), F.col("label").alias("block"))
-    rows = materialize(kept.join(labels, "doc_id").select("block", "doc_id", "n", "shingles"), "jaccard-rows")
+    labels = connected_components(chain, name="jaccard-blocks").select(F.col("node").alias("row"), F.col("label").alias("block"))
+    rows = materialize(kept.join(labels, "row").select("block", "doc_id", "n", "shingles"), "jaccard-rows")
     entries = rows.groupBy("block").agg(F.sum("n").alias("entries"), F.min("doc_id").alias("pivot"))
     large = materialize(entries.filter(F.col("entries") > ROW_BLOCK_ENTRIES), "jaccard-large")
     if large.isEmpty():
@@ -392,7 +399,9 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     links = class_links(docs, sizes, classes, size, percent).select("a", "b")
     member = sizes.join(classes.select("set_hash", "rep"), "set_hash", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
     # a doc_id with several texts ties their classes together
-    ties = member.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).filter(F.col("a") != F.col("b")).select("a", "b")
+    several = member.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter(F.col("most") != F.col("b")).select("doc_id", "b")
+    several = materialize(several, "jaccard-several")
+    ties = member.join(small_side(several), "doc_id").filter(F.col("rep") != F.col("b")).select(F.col("rep").alias("a"), "b").distinct()
     labels = materialize(connected_components(links.unionByName(ties), name="jaccard-components"), "jaccard-labels")
     found = member.join(small_side(labels), member["rep"] == labels["node"], "left")
     return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.least(F.coalesce("label", "rep"), F.coalesce("rep", "doc_id"))).alias("component_id"))
@@ -403,4 +412,4 @@ def similar_pairs(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     sizes = materialize(set_sizes(docs, size), "jaccard-sizes")
     classes = materialize(classes_of(sizes), "jaccard-classes")
     found = class_links(docs, sizes, classes, size, percent, every=True)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "overlap").distinct()
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "overlap").filter(F.col("a") != F.col("b")).distinct()

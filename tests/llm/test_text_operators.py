@@ -200,6 +200,21 @@ def test_near_duplicates_of_edited_copies(spark, monkeypatch, whole):
     assert found_components(docs_frame(spark, rows)) == expected_components(rows)
 
 
+@pytest.mark.parametrize("whole", [6_000_000, 200])
+def test_near_duplicates_of_repeated_ids(spark, monkeypatch, whole):
+    monkeypatch.setattr(jaccard_join, "ROW_BLOCK_ENTRIES", whole)
+    monkeypatch.setattr(jaccard_join, "TILE_ENTRIES", whole)
+    text = lambda name, n=100: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(2, text("a")), (2, text("a")), (1, text("a") + " more")]  # a row given twice beside a near copy
+    rows += [(10, text("b")), (10, text("c", 300)), (11, text("b") + " x"), (12, text("c", 300) + " y")]  # two texts, each with a near copy
+    rows += [(20, text("d")), (21, text("e")), (22, text("f")), (25, text("d")), (25, text("e")), (25, text("f")), (26, text("e") + " z")]  # three texts tie three classes
+    rows += [(30, text("g")), (30, text("g") + " own"), (31, text("h"))]  # two texts near each other
+    assert found_components(docs_frame(spark, rows).repartition(3)) == expected_components(rows)
+    if whole > 200:
+        pairs = [tuple(r)[:2] for r in jaccard_join.similar_pairs(docs_frame(spark, rows)).collect()]
+        assert sorted(pairs) == [(1, 2), (10, 11), (10, 12), (21, 26)]
+
+
 @pytest.mark.parametrize("whole", [6_000_000, 200])
 def test_similar_pairs_are_complete(spark, monkeypatch, whole):
     monkeypatch.setattr(jaccard_join, "ROW_BLOCK_ENTRIES", whole)
