@@ -85,6 +85,7 @@ BOILERPLATE_KINDS = [KIND_NAMES.index(k) for k in ("nav", "header", "footer", "a
 _TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _ATTRIBUTES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_MARK = re.compile(r"^ data-main=([01])(?=\s|$)")
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 _STOPS = re.compile(r"[.,;:!?]")
@@ -93,7 +94,10 @@ N_COUNTS = 7  # text, link text, words, stops, controls, links, chunks
 
 
 class Page:
-    """The block tree of one page: parallel lists by node in page order, and the pieces of text."""
+    """The block tree of one page: parallel lists by node in page order, and the pieces of text.
+
+    ``marks`` holds the label that ``compose_page`` put first into a tag, else ""; only training reads it.
+    """
 
     __slots__ = ("parent", "kind", "depth", "families", "counts", "pieces", "marks")
 
@@ -188,10 +192,8 @@ class Page:
                         family = FAMILY_OF.get(word)
                         if family is not None:
                             families |= 1 << family
-                if "data-main" in attributes:  # training pages carry their labels
-                    self.marks.append(attributes[attributes.index("data-main=") + 10])
-                else:
-                    self.marks.append("")
+                mark = _MARK.match(attributes)  # training pages carry their labels
+                self.marks.append(mark[1] if mark else "")
             else:
                 self.marks.append("")
             self.parent.append(stack[-1][1])

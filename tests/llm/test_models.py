@@ -122,6 +122,15 @@ def test_hand_written_pages(page_model, spark):
     assert page_model.extract(df.filter("false")).count() == 0 and html_extract.fit(df.filter("false")) is not None
 
 
+def test_attributes_like_the_training_mark(page_model, spark):
+    text = "A paragraph of the article with enough words, stops and so on to be one. It goes on a little."
+    page = lambda tag: f"<article {tag}><p {tag}>{text}</p></article>"
+    tags = ["", "data-main", "data-main-nav='1'", "title='data-main'", "data-main=", "data-main='x'", "data-main=9"]
+    df = spark.createDataFrame([(i, "u", page(t)) for i, t in enumerate(tags)], "page_id long, url string, html string")
+    assert [r.text for r in page_model.extract(df).collect()] == [text] * len(tags)
+    assert html_extract.fit(df) is not None
+
+
 def test_trees_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 5)).astype(np.float32)
