@@ -1,13 +1,14 @@
 """License statements in documents (operator 3).
 
-Each line of a text is a paragraph; long ones are judged in overlapping windows
-of words. A logistic regression on hashed word n-grams (one to three words)
+Each line of a text is judged, long ones in overlapping windows of words. A logistic regression on hashed word n-grams (one to three words)
 gives the odds of each license family and of "unknown", the class of ordinary
 text. It is trained here on statements composed from the family templates below
 against windows of a bounded sample of the corpus, and its confidence is
-calibrated on a part it did not learn from. What it predicts counts as confirmed
-only if a template of that family is found in the window: nearly all word pairs
-of one of its statements, or one of its names beside a word of licensing.
+calibrated on a part it did not learn from. Confirmed are all families of which a
+template is found: nearly all word pairs of one of its sentences, or one of its
+names beside a word of licensing. Templates are sought in blocks, the lines
+between two blank ones taken together, so a hard-wrapped statement is found and
+stands at its first line. What is only predicted counts as unconfirmed.
 
 Defined cases: a null or empty text has no paragraphs; lines of white space are
 none; repeated rows are scanned once each; further columns are ignored.
@@ -100,20 +101,85 @@ def _pairs(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return set(zip(words, words[1:])) if len(words) > 1 else {tuple(words)}
 
 
-_SENTENCE_PAIRS = {f: [_pairs(words_of(s.encode())) for s in sentences] for f, sentences in SENTENCES.items()}
 _NAME_WORDS = {f: [b" " + b" ".join(words_of(n.encode())) + b" " for n in names] for f, names in NAMES.items()}
 _LICENSING = {w.encode() for w in LICENSING}
 
 
-def template_families(words: list[bytes]) -> set[str]:
-    """Families of which the words hold a name beside a word of licensing, or nearly a whole sentence. A longer name outdoes a shorter one in it."""
-    found = set()
+@dataclass(frozen=True)
+class Sentence:
+    family: str
+    size: int  # words
+    pairs: frozenset
+    #: The longest pairs and their places; a text with TEMPLATE_SHARE of the pairs holds one of these.
+    anchors: tuple[tuple[bytes, int], ...]
+
+    @classmethod
+    def of(cls, family: str, sentence: str) -> Sentence:
+        words = words_of(sentence.encode())
+        pairs = _pairs(words)
+        places = {p: i for i, p in reversed(list(enumerate(zip(words, words[1:]))))}
+        missing = sum(len(pairs) - k >= TEMPLATE_SHARE * len(pairs) for k in range(1, len(pairs)))
+        longest = sorted(pairs, key=lambda p: (-len(p[0]) - len(p[1]), p))[: missing + 1]
+        return cls(family, len(words), frozenset(pairs), tuple((b" " + b" ".join(p) + b" ", places[p]) for p in longest))
+
+
+_SENTENCES = [Sentence.of(f, s) for f, sentences in SENTENCES.items() for s in sentences]
+
+
+def _places(text: bytes, part: bytes) -> list[int]:
+    """The words of a text (a blank before and after each) at which a part starts."""
+    out, at, word, last = [], text.find(part), 0, 0
+    while at >= 0:
+        word, last = word + text.count(b" ", last, at), at
+        out.append(word)
+        at = text.find(part, at + 1)
+    return out
+
+
+def template_matches(words: list[bytes]) -> list[tuple[str, int, int]]:
+    """(family, first word, end) of every name beside a word of licensing and every sentence of which nearly all is there. A longer name outdoes a shorter one in it."""
     text = b" " + b" ".join(words) + b" "
-    if _LICENSING & set(words):
-        hits = {f: max((n for n in names if n in text), key=len, default=b"") for f, names in _NAME_WORDS.items()}
-        found = {f for f, n in hits.items() if n and not any(n != m and n.strip() in m for m in hits.values())}
-    pairs = _pairs(words)
-    return found | {f for f, sentences in _SENTENCE_PAIRS.items() if any(len(s & pairs) >= TEMPLATE_SHARE * len(s) for s in sentences)}
+    names: list[tuple[str, int, int]] = []
+    if not _LICENSING.isdisjoint(words):
+        for family, parts in _NAME_WORDS.items():
+            for part in parts:
+                if part in text:
+                    size = part.count(b" ") - 1
+                    names += [(family, i, i + size) for i in _places(text, part) if not _LICENSING.isdisjoint(words[max(0, i + size - WINDOW) : i + WINDOW])]
+        reach: dict[int, int] = {}
+        for _, i, end in names:
+            reach[i] = max(reach.get(i, 0), end)
+        names = [x for x in names if reach[x[1]] == x[2] and not any(reach.get(i, 0) >= x[2] for i in range(x[1] - WINDOW, x[1]))]
+    family_at = {i: family for family, i, _ in names}
+    found: dict[int, list[tuple[float, str, int, int]]] = {}  # by first word // WINDOW
+    for sentence in _SENTENCES:
+        spots = sorted({i - k for anchor, k in sentence.anchors if anchor in text for i in _places(text, anchor)})
+        end = -1
+        for spot in spots:
+            if spot < end:
+                continue
+            lo = max(0, spot - WINDOW + sentence.size)
+            near = list(zip(words[lo : spot + WINDOW], words[lo + 1 : spot + WINDOW]))
+            share = len(sentence.pairs.intersection(near)) / len(sentence.pairs)
+            if share >= TEMPLATE_SHARE:
+                first = next((i for i in range(max(0, spot), lo + len(near)) if near[i - lo] in sentence.pairs), max(0, spot))
+                end = spot + sentence.size
+                inside = {family_at[i] for i in range(first, end) if i in family_at}
+                if not inside or sentence.family in inside:  # the sentence of another license in the same words
+                    found.setdefault(first // WINDOW, []).append((share, sentence.family, first, min(end, len(words))))
+    # of two sentences that differ in a few words the better match counts
+    kept = [
+        x
+        for at, some in found.items()
+        for x in some
+        if not any(y[1] != x[1] and y[0] > x[0] and min(x[3], y[3]) - max(x[2], y[2]) > (x[3] - x[2]) / 2 for k in (at - 1, at, at + 1) for y in found.get(k, ()))
+    ]
+    return sorted({*names, *(x[1:] for x in kept)}, key=lambda x: (x[1], x))
+
+
+def template_families(words: list[bytes]) -> set[str]:
+    """Families of which a template is found in the words."""
+    return {f for f, _, _ in template_matches(words)}
 
 
 @dataclass
@@ -172,37 +238,47 @@ class LicenseModel:
         return self.scan([text])[0]
 
     def scan(self, texts: list[str | None]) -> list[list[tuple[int, str, float, bool]]]:
-        """For each text the paragraphs (line number) predicted to state a license: family, probability, confirmed."""
-        found: list[list[tuple[int, str, float, bool]]] = [[] for _ in texts]
+        """For each text its lines that state a license: line number, family, probability, confirmed."""
+        best: list[dict[tuple[int, str], tuple[bool, float]]] = [{} for _ in texts]
+        inside: list[set[tuple[int, str]]] = [set() for _ in texts]  # lines of confirmed statements
         windows: list[list[bytes]] = []
-        places: list[tuple[int, int]] = []
+        places: list[tuple[int, int, str | None]] = []  # text, line, family if confirmed
 
         def judge() -> None:
-            best: dict[tuple[int, int, str], tuple[float, bool]] = {}
             p = self.probabilities(windows)
             top = p.argmax(axis=1)
-            for i in np.flatnonzero((top > 0) & (p[np.arange(len(p)), top] >= PROBABILITY)).tolist():
-                key = (*places[i], FAMILIES[top[i]])
-                sure = FAMILIES[top[i]] in template_families(windows[i])
-                best[key] = max(best.get(key, (0.0, False)), (float(p[i, top[i]]), sure), key=lambda x: (x[1], x[0]))
-            for (number, line, family), (score, sure) in best.items():
-                found[number].append((line, family, score, sure))
+            stated = (top > 0) & (p[np.arange(len(p)), top] >= PROBABILITY)
+            for i, (number, line, family) in enumerate(places):
+                if family is not None or stated[i]:
+                    k = FAMILIES.index(family) if family is not None else top[i]
+                    key = (line, FAMILIES[k])
+                    best[number][key] = max(best[number].get(key, (False, 0.0)), (family is not None, float(p[i, k])))
             windows.clear()
             places.clear()
 
         for number, text in enumerate(texts):
-            for line, paragraph in enumerate((text or "").encode("utf-8", "surrogatepass").split(b"\n")):
-                words = words_of(paragraph)
-                if words:
-                    for lo, hi in windows_of(words):
-                        windows.append(words[lo:hi])
-                        places.append((number, line))
+            words: list[bytes] = []
+            lines: list[int] = []
+            for line, paragraph in enumerate([*(text or "").encode("utf-8", "surrogatepass").split(b"\n"), b""]):
+                some = words_of(paragraph)
+                if some:
+                    for lo, hi in windows_of(some):
+                        windows.append(some[lo:hi])
+                        places.append((number, line, None))
+                    words += some
+                    lines += [line] * len(some)
+                if words and not paragraph.strip():
+                    for family, first, end in template_matches(words):
+                        lo = max(0, min(first, (first + end - WINDOW) // 2))
+                        windows.append(words[lo : lo + WINDOW])
+                        places.append((number, lines[first], family))
+                        inside[number] |= {(x, family) for x in lines[first:end]}
+                    words, lines = [], []
                 if len(windows) >= 20_000:
                     judge()
         if windows:
             judge()
-        # a paragraph that spans two batches of windows may come twice
-        return [sorted({(line, family): (line, family, score, sure) for line, family, score, sure in sorted(x, key=lambda r: (r[3], r[2]))}.values()) for x in found]
+        return [sorted((line, family, score, sure) for (line, family), (sure, score) in x.items() if sure or (line, family) not in y) for x, y in zip(best, inside)]
 
     def paragraphs(self, docs: DataFrame) -> DataFrame:
         """One row for each paragraph that states a license: doc_id, line, family, score, confirmed."""

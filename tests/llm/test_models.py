@@ -161,6 +161,29 @@ def test_license_edge_cases(spark, awkward, awkward_docs, no_docs):
     assert model.documents(awkward_docs).count() == len(awkward) and license_scan.fit(no_docs).documents(no_docs).count() == 0
 
 
+def test_all_families_of_wrapped_and_dual_statements():
+    model = license_scan.train([b"the cat sat on the mat and looked about".split()] * 40)
+    gnu = "This {} is free software{} you can redistribute it and/or modify\nit under the terms of the GNU {} Public License"
+    isc = "Permission to use, copy, modify, and/or distribute this software\nfor any purpose with or without fee is hereby granted"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met"
+    texts = {
+        "Dual licensed under the MIT License and the Apache License, Version 2.0": "Apache-2.0,MIT",
+        bsd: "BSD",
+        f"word\n\n{isc}\nword": "ISC",
+        f"# {bsd}".replace("\n", "\n# "): "BSD",
+        f"{isc}\n\n{bsd}": "BSD,ISC",
+        "Released under the Mozilla Public\nLicense 2.0": "MPL-2.0",
+        gnu.format("program", ":", "General"): "GPL",
+        gnu.format("library", ";", "Lesser General"): "LGPL",
+        gnu.format("program", ":", "Affero General"): "AGPL-3.0",
+        "Licensed under CC BY-SA 4.0 or GPLv3": "CC-BY-SA,GPL",
+        "with or without\n\nmodification is the general public": "",
+    }
+    hits = model.scan(list(texts))
+    assert [",".join(sorted({f for _, f, _, sure in h if sure})) for h in hits] == list(texts.values())
+    assert [x for h in hits[1:4] for x in h if not x[3]] == [] and [h[0][0] for h in hits[1:4]] == [0, 2, 0]
+
+
 @pytest.fixture(scope="module")
 def real():
     from tokenizers import Tokenizer
