@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +17,12 @@ from ..sources.storage import new_folder
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: A side is broadcast only when it was written out and counted, and has no
-#: more than this many narrow rows (some tens of MB at most).
+#: A side that does not grow with the corpus (a benchmark, a table of shards) is
+#: broadcast when it was counted and has no more than this many narrow rows.
 BROADCAST_ROWS = 500_000
+#: A key is hot beyond HOT_ROWS rows, and beyond this share of all rows: so there are never more hot keys than HOT_KEYS.
+HOT_ROWS = 1_000
+HOT_KEYS = 100_000
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -33,28 +38,76 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, so that what is made of one stays small; at the end the worker gives freed memory back.
-
-    Workers live on after a task, and what their allocators keep counts against
-    the executor while other operators run in the JVM.
-    """
+    """The same rows in small batches, so that what is made of one stays small; at the end the worker gives its memory back."""
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
     release_memory()
 
 
+#: Caches of this worker process that are emptied at the end of a task.
+CACHES: list[dict] = []
+
+
 def release_memory() -> None:
+    """Empty the caches and give freed memory back to the system.
+
+    Workers live on after a task, and what they keep counts against the executor
+    while other operators run in the JVM. Small objects that a cache keeps would
+    hold whole arenas of freed ones.
+    """
+    for cache in CACHES:
+        cache.clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim is not None:
         trim(0)
 
 
-def small_side(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows are within ``limit``, else unchanged (a shuffle join)."""
+def small_side(df: DataFrame, rows: int | None = None, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows are within ``limit``, else unchanged (a shuffle join).
+
+    For sides made from small inputs. What grows with the corpus joins by
+    shuffle at every size, so that plans and their costs stay the same.
+    """
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df
+    return F.broadcast(df) if n <= (BROADCAST_ROWS if limit is None else limit) else df
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+    """Shuffle join in which a hot key of ``left`` is dealt to several tasks by the ``spread`` columns.
+
+    ``left`` must be written out already, as it is counted first; ``right`` has few
+    rows for each key, and those of a hot key are copied to each of its tasks.
+    The counts are added up map-side. A key is hot beyond max(HOT_ROWS, rows /
+    HOT_KEYS) rows, so the table of hot keys, which is broadcast, has no more
+    than HOT_KEYS rows at any size. ``how``: inner or left.
+    """
+    most = max(HOT_ROWS, left.count() // HOT_KEYS)
+    hot = left.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > most)
+    hot = F.broadcast(materialize(hot.select(*on, F.ceil(F.col("_n") / F.lit(most)).cast("long").alias("_groups")), "hot-keys"))
+    one = F.lit(1).cast("long")
+    without = reduce(Column.__or__, (F.col(c).isNull() for c in on))  # joins nothing, so it may go anywhere
+    groups = F.when(without, F.lit(HOT_ROWS).cast("long")).otherwise(F.coalesce("_groups", one))
+    dealt = left.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), groups)).drop("_groups")
+    copied = right.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(one - 1, F.coalesce("_groups", one) - 1))).drop("_groups")
+    return dealt.join(copied, [*on, "_salt"], how).drop("_salt")
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that clashes with no column."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def join_small(left: DataFrame, right: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
+    """Join with a side that does not grow with the corpus: broadcast where it is counted and small, else ``salted_join``."""
+    if right.count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), on)
+    return salted_join(materialize(left, "large-side"), right, on, spread)
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

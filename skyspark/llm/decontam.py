@@ -9,12 +9,16 @@ A phrase is sought from its rarest terms. Of every window of ten item words the
 rarest term gives candidates (document, offset-adjusted position); the list of
 the next rarest term, adjusted the same way, is intersected with them; only what
 is left is compared word by word. Terms are 64-bit hashes of words. All of it is
-DataFrame operations.
-
-Defined cases: a null or empty text has no words and no hits; every input row
-is a document of its own, so repeated rows give repeated results; items without
-words or with a null id match nothing; the same item given twice counts once;
-an empty benchmark hits nothing; further columns are ignored.
+DataFrame operations. What derives from the benchmark is broadcast where it is
+counted and small; beyond that it joins by shuffle, with the keys that are hot in
+the corpus dealt to several tasks.
+
+Defined cases: a null or empty text has no words and no hits; texts of any
+length are indexed whole; every input row is a document of its own, so repeated
+rows give repeated results; windows that tie in rarity are taken in item order;
+items without words or with a null id match nothing; the same item given twice
+counts once; an empty benchmark hits nothing, an empty table gives an empty
+result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,18 +29,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import new_folder
-from .common import ascii_lower, materialize, small_side
+from .common import ascii_lower, join_small, materialize, small_side
 
-#: Words before lower-casing: digits, A-Z, a-z and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What lies between words, which before lower-casing are digits, A-Z, a-z and everything beyond ASCII.
+BETWEEN = r"[^0-9A-Za-z\x80-\x{10FFFF}]+"
 WINDOW = 10
+ROW_GROUP_BYTES = 16 << 20
 #: Words that all terms of a proximity match must lie within, on either side of the rarest one.
 SPAN = 20
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text, A-Z not yet lower-cased (that is cheaper word by word)."""
-    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD), F.lit(0))
+    """The words of a text, A-Z not yet lower-cased (that is cheaper word by word). Splitting makes fewer objects than matching."""
+    return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), BETWEEN), "")
 
 
 def term_of(word: Column) -> Column:
@@ -46,7 +51,7 @@ def term_of(word: Column) -> Column:
 
 @dataclass(frozen=True)
 class PositionalIndex:
-    """Postings in the shared folder: term, uid, doc_id, pos."""
+    """Postings in the shared folder: term, uid, doc_id (heads only), pos."""
 
     table: DataFrame
 
@@ -64,7 +69,8 @@ class PositionalIndex:
             F.when(head, F.col("n")).otherwise(F.col("at") - 1).alias("pos"),
         )
         path = path or new_folder(spark, "postings")
-        postings.sortWithinPartitions("term").write.option("compression", "zstd").parquet(path)
+        # small row groups: what the writers hold counts against the sort
+        postings.sortWithinPartitions("term").write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
         return cls.open(spark, path)
 
     @classmethod
@@ -79,6 +85,10 @@ class PositionalIndex:
     def postings(self) -> DataFrame:
         return self.table.filter(F.col("term").isNotNull()).select("term", "uid", "pos")
 
+    def of(self, terms: DataFrame) -> DataFrame:
+        """(term, uid, pos) of distinct terms from the benchmark."""
+        return self.postings.join(small_side(terms), "term", "left_semi")
+
 
 @dataclass(frozen=True)
 class BenchmarkTerms:
@@ -94,7 +104,7 @@ class BenchmarkTerms:
         items = materialize(rows.select(F.monotonically_increasing_id().alias("iid"), "item_id", F.size("words").alias("n_words"), "words"), "items")
         terms = materialize(items.select("iid", F.posexplode("words").alias("off", "word")).select("iid", "off", term_of(F.col("word")).alias("term")), "item-terms")
         vocabulary = terms.select("term").distinct()
-        counted = index.postings.select("term").join(small_side(vocabulary), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+        counted = index.of(vocabulary).groupBy("term").agg(F.count("*").alias("df"))
         counts = materialize(counted, "item-df")
         length = F.least(F.lit(window), F.col("n_words"))
         starts = items.select("iid", length.alias("length"), F.explode(F.sequence(F.lit(0), F.col("n_words") - length)).alias("start"))
@@ -110,8 +120,8 @@ class BenchmarkTerms:
 
 def _candidates(index: PositionalIndex, bench: BenchmarkTerms) -> DataFrame:
     """(iid, off, uid, pos) for every posting of a window's rarest term."""
-    anchors = bench.at_rank(1).select("iid", "off", "term").distinct()
-    return index.postings.join(small_side(anchors), "term").select("iid", "off", "uid", "pos")
+    anchors = materialize(bench.at_rank(1).select("iid", "off", "term").distinct(), "item-anchors")
+    return join_small(index.postings, anchors, ["term"], ["uid"]).select("iid", "off", "uid", "pos")
 
 
 def phrase_hits(index: PositionalIndex, bench: BenchmarkTerms, window: int = WINDOW) -> DataFrame:
@@ -120,20 +130,20 @@ def phrase_hits(index: PositionalIndex, bench: BenchmarkTerms, window: int = WIN
     second = bench.at_rank(2).select("iid", "start", F.col("off").alias("next_off"), F.col("term").alias("next_term"))
     # off and next_off are the same for many windows of an item: keep each pair once
     pairs = materialize(first.join(second, ["iid", "start"], "left").select("iid", "off", "next_off", "next_term").distinct(), "item-pairs")
-    shifted = _candidates(index, bench).join(small_side(pairs), ["iid", "off"]).withColumn("diag", F.col("pos") - F.col("off"))
+    shifted = join_small(_candidates(index, bench), pairs, ["iid", "off"], ["uid"]).withColumn("diag", F.col("pos") - F.col("off"))
+    shifted = materialize(shifted.select("iid", "uid", "diag", "next_off", "next_term"), "phrase-shifted")
     lone = shifted.filter(F.col("next_off").isNull()).select("iid", "uid", "diag")  # windows of one word
     wanted = shifted.filter(F.col("next_off").isNotNull()).select("iid", "uid", "diag", F.col("next_term").alias("term"), (F.col("diag") + F.col("next_off")).alias("pos"))
     next_terms = pairs.select(F.col("next_term").alias("term")).filter(F.col("term").isNotNull()).distinct()
-    lists = index.postings.join(small_side(next_terms), "term", "left_semi")
-    both = wanted.join(lists, ["term", "uid", "pos"]).select("iid", "uid", "diag")
+    both = wanted.join(index.of(next_terms), ["term", "uid", "pos"]).select("iid", "uid", "diag")
     found = materialize(both.unionByName(lone).distinct(), "phrase-candidates")
-    needed = found.join(bench.terms, "iid").select("iid", "uid", "diag", "off", "term", (F.col("diag") + F.col("off")).alias("pos"))
-    near = index.postings.join(small_side(found.select("uid").distinct()), "uid", "left_semi")
+    needed = join_small(found, bench.terms, ["iid"], ["uid"]).select("iid", "uid", "diag", "off", "term", (F.col("diag") + F.col("off")).alias("pos"))
+    near = index.of(bench.terms.select("term").distinct()).join(found.select("uid").distinct(), "uid", "left_semi")
     equal = near.join(needed, ["uid", "pos", "term"]).select("iid", "uid", "diag", "off")
-    alignment = Window.partitionBy("iid", "uid", "diag")
+    alignment = Window.partitionBy("iid", "uid", "diag")  # no more rows than the item has words
     runs = equal.withColumn("run", F.col("off") - F.row_number().over(alignment.orderBy("off")))
     sized = runs.withColumn("length", F.count("*").over(Window.partitionBy("iid", "uid", "diag", "run")))
-    whole = sized.join(small_side(bench.items.select("iid", "n_words")), "iid").filter(F.col("length") >= F.least(F.lit(window), F.col("n_words")))
+    whole = join_small(sized, bench.items.select("iid", "n_words"), ["iid"], ["uid"]).filter(F.col("length") >= F.least(F.lit(window), F.col("n_words")))
     return whole.select("iid", "uid", F.col("diag").alias("start"), (F.col("diag") + F.col("off")).alias("pos"))
 
 
@@ -143,12 +153,12 @@ def proximity_matches(index: PositionalIndex, bench: BenchmarkTerms, terms: int
     others = bench.ranked.filter((F.col("rank") > 1) & (F.col("rank") <= terms))
     sets = others.groupBy("iid", "start").agg(F.array_sort(F.collect_set("term")).alias("others"))  # at most terms - 1
     wanted = materialize(anchor.join(sets, ["iid", "start"]).select("iid", "off", "others").distinct(), "item-sets")
-    near = _candidates(index, bench).join(small_side(wanted), ["iid", "off"])
+    near = join_small(_candidates(index, bench), wanted, ["iid", "off"], ["uid"])
     sought = near.select("iid", "uid", F.col("pos").alias("anchor"), "others", F.explode("others").alias("term"))
     reach = F.sequence(F.floor((F.col("anchor") - span) / span), F.floor((F.col("anchor") + span) / span))
     sought = sought.select("iid", "uid", "anchor", "others", "term", F.explode(reach).alias("bucket"))
     other_terms = wanted.select(F.explode("others").alias("term")).distinct()
-    lists = index.postings.join(small_side(other_terms), "term", "left_semi").withColumn("bucket", F.floor(F.col("pos") / span))
+    lists = index.of(other_terms).withColumn("bucket", F.floor(F.col("pos") / span))
     within = sought.join(lists, ["uid", "term", "bucket"]).filter(F.abs(F.col("pos") - F.col("anchor")) <= span)
     full = within.groupBy("iid", "uid", "anchor", "others").agg(F.countDistinct("term").alias("n")).filter(F.col("n") == F.size("others"))
     hits = full.select("iid", "uid", F.col("anchor").alias("pos")).distinct()
@@ -161,9 +171,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     bench = BenchmarkTerms.prepare(benchmark, index, window)
     hits = materialize(phrase_hits(index, bench, window), "phrase-hits")
     words = hits.select("uid", "pos").distinct().groupBy("uid").agg(F.count("*").alias("n_hit"))
-    named = hits.select("uid", "iid").distinct().join(small_side(bench.items.select("iid", "item_id")), "iid")
+    named = join_small(hits.select("uid", "iid").distinct(), bench.items.select("iid", "item_id"), ["iid"], ["uid"])
     items = named.groupBy("uid").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))  # bounded by the benchmark
-    found = materialize(words.join(items, "uid"), "contaminated")
-    joined = index.documents.join(small_side(found), "uid", "left")
+    joined = index.documents.join(words.join(items, "uid"), "uid", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return joined.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))

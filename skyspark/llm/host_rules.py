@@ -7,7 +7,8 @@ joined back to its documents.
 
 Defined cases: a null text has no words and fails the base rules; a null host
 gets no verdict, so its documents stand or fall alone; repeated rows are
-measured, counted and returned once each; an empty table gives an empty result;
+measured, counted and returned once each; a long text is measured whole; hosts
+that tie in rate get the same verdict; an empty table gives an empty result;
 further input columns are ignored.
 """
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize, small_side
+from .common import ASCII_SPACE, materialize, salted_join
 
 SYMBOLS = "#*$%&|<>"
 #: Fewest words of a document, and the greatest share of words in repeated windows (per cent).
@@ -127,15 +128,15 @@ def host_quality(
 
     The texts are read once; what the two consumers (host totals and the join
     back) share is the narrow table of counts, written to the shared folder.
-    Hosts are summed map-side first. The host table is broadcast if it is
-    counted and small, else joined by shuffle with AQE splitting hot hosts.
+    Hosts are summed map-side first; documents of a hot host are dealt to
+    several tasks when the verdicts are joined back.
     """
     measured = document_metrics(docs, host).withColumn("base_failed", base_failed(min_words, max_repeat_percent))
     metrics = materialize(measured, "host-metrics")
     rates = materialize(host_rates(metrics), "host-rates").select("host", F.col("rate").alias("host_rate"))
     failed = F.coalesce(F.col("host_rate") > max_host_rate, F.lit(False))
     return (
-        metrics.join(small_side(rates), "host", "left")
+        salted_join(metrics, rates, ["host"], ["doc_id"], "left")
         .withColumn("host_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))
     )

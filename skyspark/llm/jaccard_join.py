@@ -16,11 +16,13 @@ The document by n-gram incidence matrix is never formed as a whole:
    of it.
 5. Components of the links are spread from the classes to their documents.
 
-Column blocks travel as packed arrays, a row for each task and block, so counts
-of rows do not grow with the sizes of groups.
+Column blocks travel as packed arrays, a row for each task and block (never more
+than one for each shingle), so counts of rows do not grow with the sizes of groups.
+Blocks are dealt to partitions by number, and a task holds one at a time.
 
 Defined cases: texts without words (null, empty, white space) have no shingles,
-link with nothing and form their own component; repeated rows get equal
+link with nothing and form their own component; long texts give all their
+shingles; shingles that tie in rarity are taken by hash; repeated rows get equal
 results; rows that share a doc_id but not the text are one document that links
 wherever one of its texts does; a null doc_id gets a null component and links
 nothing; an empty table gives an empty result; further columns are ignored.
@@ -34,10 +36,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, release_memory, slices, small_side
+from .common import connected_components, materialize, release_memory, salted_join, slices, small_side
 from .shingles import shingle_set
 
 SIZE = 5
@@ -129,6 +132,25 @@ def _blocks(batches: Iterator[pa.RecordBatch], sets_of, shards: int, keep_hashes
         yield flush()
 
 
+#: Partitions that numbered blocks are dealt to, at most.
+MAX_PARTITIONS = 20_000
+
+
+def _dealt(packed: DataFrame, key: str, count: int, work, schema: str) -> DataFrame:
+    """``work`` on the rows of each value (0 to count - 1) of ``key``, one value at a time in a task."""
+    parts = min(count, MAX_PARTITIONS)
+    placed = packed.repartitionById(parts, F.col(key).cast("int") % F.lit(parts)).sortWithinPartitions(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches, key):
+            found = pa.RecordBatch.from_pandas(work(table.to_pandas()), preserve_index=False)
+            del table
+            yield found
+            release_memory()
+
+    return placed.mapInArrow(run, schema)
+
+
 def _unpack(rows: pd.DataFrame, key_type: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, owners as positions in ids, and ids of all rows of a shard."""
     keys, owners, ids, base = [], [], [], 0
@@ -163,8 +185,6 @@ def _count_shared(rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
     found = counts > 0
     ids, counts = ids[found], counts[found]
     out = [(b, ids[at].tobytes(), counts[at].tobytes()) for b, at in _by_bucket(ids, buckets)]
-    del keys, owners, order, same, shared
-    release_memory()
     return pd.DataFrame(out, columns=["bucket", "ids", "counts"])
 
 
@@ -288,6 +308,7 @@ def _whole_blocks(blocks: DataFrame, percent: int, every: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, "block"):
             yield _links_batch(_links_of(table.column("doc_id").to_numpy(), _sets_in(table), percent, every))
+        release_memory()
 
     return blocks.repartition("block").sortWithinPartitions("block").select("block", "doc_id", "shingles").mapInArrow(run, _LINKS_SCHEMA)
 
@@ -296,9 +317,10 @@ def _tiled_blocks(blocks: DataFrame, sizes: DataFrame, percent: int, every: bool
     """Row blocks too large for a task: the pivot's row first, then tiles of the rows it did not join with all rows."""
     tiles = F.ceil(F.col("entries") / TILE_ENTRIES)
     sizes = sizes.select("block", tiles.alias("tiles"), "pivot")
-    pivots = blocks.join(F.broadcast(sizes.select(F.col("block"), F.col("pivot").alias("doc_id"))), ["block", "doc_id"]).select("block", F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_shingles"))
+    blocks = materialize(blocks, "jaccard-large-rows")
+    pivots = blocks.join(sizes.select("block", F.col("pivot").alias("doc_id"), "tiles"), ["block", "doc_id"]).select("block", F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_shingles"), "tiles")
     pivots = materialize(pivots.dropDuplicates(["block"]), "jaccard-pivots")
-    with_pivot = blocks.join(small_side(pivots, limit=64), "block").join(small_side(sizes.drop("pivot")), "block")
+    with_pivot = salted_join(blocks, pivots, ["block"], ["doc_id"])
 
     def against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,26 +348,62 @@ def _tiled_blocks(blocks: DataFrame, sizes: DataFrame, percent: int, every: bool
             asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
             if asks.any():
                 yield _links_batch(_links_of(table.column("doc_id").to_numpy(), _sets_in(table), percent, every, asks))
+        release_memory()
 
     products = cells.repartition("cell").sortWithinPartitions("cell").select("cell", "doc_id", "shingles", "asks").mapInArrow(run, _LINKS_SCHEMA)
     return products.filter(F.col("a") != F.col("b")) if every else products.unionByName(joined)
 
 
-def class_links(docs: DataFrame, sizes: DataFrame, classes: DataFrame, size: int = SIZE, percent: int = PERCENT, every: bool = False) -> DataFrame:
+def neighbours(prefix: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of rows that are next to each other in the list of a shingle, sorted by size, and whose sizes allow a link.
+
+    Members of a list whose sizes allow a link are joined by a chain of such
+    neighbours. The lists are cut by range, so that a very long one lies in many
+    partitions; the two ends of each partition are joined afterwards.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        first = last = None  # shingle, size and row of the ends
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            shingle, n, row = (batch.column(k).to_numpy() for k in range(3))
+            ends = [(shingle[k], n[k], row[k]) for k in (0, -1)]
+            if last is not None:
+                shingle, n, row = (np.r_[x, y] for x, y in zip(last, (shingle, n, row)))
+            first, last = first or ends[0], ends[1]
+            found = np.flatnonzero((shingle[1:] == shingle[:-1]) & (100 * n[:-1] >= percent * n[1:]) & (row[1:] != row[:-1]))
+            yield edges(row[found + 1], row[found], [None] * len(found), [None] * len(found), [None] * len(found))
+        if last is not None:
+            yield edges([int(x[2]) for x in (first, last)], [0, 1], [part] * 2, [int(x[0]) for x in (first, last)], [int(x[1]) for x in (first, last)])
+
+    def edges(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "part", "shingle", "n"])
+
+    found = prefix.select("shingle", "n", "row").repartitionByRange("shingle", "n", "row").sortWithinPartitions("shingle", "n", "row")
+    found = materialize(found.mapInArrow(run, "a long, b long, part long, shingle long, n long"), "jaccard-neighbours")
+    ends = found.filter(F.col("part").isNotNull())  # two rows for each partition, so one window may hold them
+    at = Window.orderBy("part", "b")
+    across = ends.select("a", F.lag("a").over(at).alias("before"), ((F.lag("shingle").over(at) == F.col("shingle")) & (100 * F.lag("n").over(at) >= percent * F.col("n"))).alias("linked"))
+    across = across.filter(F.col("linked") & (F.col("a") != F.col("before"))).select("a", F.col("before").alias("b"))
+    return found.filter(F.col("part").isNull()).select("a", "b").unionByName(across).distinct()
+
+
+def class_links(docs: DataFrame, classes: DataFrame, size: int = SIZE, percent: int = PERCENT, every: bool = False) -> DataFrame:
     """Links (a, b, overlap) between class representatives; without ``every`` just links enough for the components."""
     totals = classes.agg(F.sum("n_shingles").alias("n"), F.count("*").alias("classes")).first()
     shards = max(1, -(-(totals.n or 0) // BLOCK_ENTRIES))
     buckets = max(1, -(-totals.classes // BUCKET_CLASSES))
-    copies = sizes.join(classes.select("set_hash", "rep"), "set_hash").filter(F.col("doc_id") != F.col("rep")).select("doc_id").distinct()
-    copies = materialize(copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "jaccard-copies")
-    representatives = _picked(docs).filter(F.col("doc_id").isNotNull()).join(small_side(copies), "doc_id", "left_anti")
+    usable = _picked(docs).filter(F.col("doc_id").isNotNull())
 
     def from_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _blocks(batches, lambda b: zip(b.column(0).to_pylist(), (shingle_set(x.as_py(), size) for x in b.column(1))), shards, False)
 
-    blocks = representatives.select("doc_id", "text").mapInArrow(from_text, _BLOCK_SCHEMA)
-    shared = blocks.groupBy("shard").applyInPandas(lambda rows: _count_shared(rows, buckets), "bucket long, ids binary, counts binary")
-    shared = shared.groupBy("bucket").applyInPandas(_sum_shared, "doc_id long, n_shared long")
+    # copies of a class are counted too: a class that has some stays, and the texts need no shuffle here
+    blocks = usable.mapInArrow(from_text, _BLOCK_SCHEMA)
+    shared = _dealt(blocks, "shard", shards, lambda rows: _count_shared(rows, buckets), "bucket long, ids binary, counts binary")
+    shared = _dealt(shared, "bucket", buckets, _sum_shared, "doc_id long, n_shared long")
     enough = shared.join(classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n")), "doc_id").filter(100 * F.col("n_shared") >= percent * F.col("n"))
     survivors = materialize(enough.select("doc_id").distinct(), "jaccard-survivors")
 
@@ -356,34 +414,31 @@ def class_links(docs: DataFrame, sizes: DataFrame, classes: DataFrame, size: int
             hashes = [xxhash.xxh3_128_digest(s) for s in packed]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary()), pa.array(list(map(len, found)), pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "set_hash", "n", "shingles"])
 
-    kept = representatives.join(small_side(survivors), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, set_hash binary, n long, shingles binary")
+    kept = usable.join(survivors, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, set_hash binary, n long, shingles binary")
     # numbered, as a doc_id may come with several sets, and once written the numbers stay; of rows with one set the representative's is left
     kept = materialize(kept.filter(F.col("n") > 0).withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
     repeated = kept.groupBy("set_hash").agg(F.min(F.struct("doc_id", "row")).getField("row").alias("first"), F.count("*").alias("times")).filter("times > 1")
     repeated = materialize(repeated.select("set_hash", "first"), "jaccard-repeated")
-    extra = materialize(kept.select("set_hash", "row").join(small_side(repeated), "set_hash").filter(F.col("row") != F.col("first")).select("row"), "jaccard-extra")
-    kept = kept.join(small_side(extra), "row", "left_anti")
+    extra = materialize(kept.select("set_hash", "row").join(repeated, "set_hash").filter(F.col("row") != F.col("first")).select("row"), "jaccard-extra")
+    kept = kept.join(extra, "row", "left_anti")
     left = kept.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-left // BLOCK_ENTRIES))
 
     def from_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _blocks(batches, lambda b: zip(b.column(0).to_pylist(), (np.frombuffer(x.as_py(), np.uint64) for x in b.column(1))), parts, True)
 
-    counted = kept.select("row", "shingles").mapInArrow(from_sets, _BLOCK_SCHEMA).groupBy("shard").applyInPandas(lambda rows: _send_counts(rows, parts), "bucket long, ids binary, keys binary, df binary")
-    prefix = counted.groupBy("bucket").applyInPandas(lambda rows: _rarest(rows, percent), "shingle long, row long, n long")
-    # sorted by size, members of a list whose sizes allow a link are joined by a chain of neighbours that allow one
-    by_size = Window.partitionBy("shingle").orderBy("n", "row")
-    chain = prefix.select(F.col("row").alias("a"), "n", F.lag("row").over(by_size).alias("b"), F.lag("n").over(by_size).alias("m"))
-    chain = chain.filter((100 * F.col("m") >= percent * F.col("n")) & (F.col("a") != F.col("b"))).select("a", "b").distinct()
+    counted = _dealt(kept.select("row", "shingles").mapInArrow(from_sets, _BLOCK_SCHEMA), "shard", parts, lambda rows: _send_counts(rows, parts), "bucket long, ids binary, keys binary, df binary")
+    prefix = materialize(_dealt(counted, "bucket", parts, lambda rows: _rarest(rows, percent), "shingle long, row long, n long"), "jaccard-prefixes")
+    chain = neighbours(prefix, percent)
     labels = connected_components(chain, name="jaccard-blocks").select(F.col("node").alias("row"), F.col("label").alias("block"))
     rows = materialize(kept.join(labels, "row").select("block", "doc_id", "n", "shingles"), "jaccard-rows")
     entries = rows.groupBy("block").agg(F.sum("n").alias("entries"), F.min("doc_id").alias("pivot"))
     large = materialize(entries.filter(F.col("entries") > ROW_BLOCK_ENTRIES), "jaccard-large")
     if large.isEmpty():
         return _whole_blocks(rows, percent, every)
-    in_large = small_side(large.select("block"))
-    whole = _whole_blocks(rows.join(in_large, "block", "left_anti"), percent, every)
-    return whole.unionByName(_tiled_blocks(rows.join(in_large, "block", "left_semi"), large, percent, every))
+    sized = salted_join(rows, large.select("block", F.lit(True).alias("large")), ["block"], ["doc_id"], "left")
+    whole = _whole_blocks(sized.filter(F.col("large").isNull()).drop("large"), percent, every)
+    return whole.unionByName(_tiled_blocks(sized.filter("large").drop("large"), large, percent, every))
 
 
 def classes_of(sizes: DataFrame) -> DataFrame:
@@ -396,20 +451,26 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     """One row for each input row: doc_id, n_shingles and component_id (the smallest doc_id reachable by links)."""
     sizes = materialize(set_sizes(docs, size), "jaccard-sizes")
     classes = materialize(classes_of(sizes), "jaccard-classes")
-    links = class_links(docs, sizes, classes, size, percent).select("a", "b")
-    member = sizes.join(classes.select("set_hash", "rep"), "set_hash", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
+    links = class_links(docs, classes, size, percent).select("a", "b")
     # a doc_id with several texts ties their classes together
-    several = member.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter(F.col("most") != F.col("b")).select("doc_id", "b")
-    several = materialize(several, "jaccard-several")
-    ties = member.join(small_side(several), "doc_id").filter(F.col("rep") != F.col("b")).select(F.col("rep").alias("a"), "b").distinct()
+    named = sizes.filter(F.col("doc_id").isNotNull())
+    some_hash = F.coalesce("set_hash", F.lit(b""))
+    several = named.groupBy("doc_id").agg(F.min(some_hash).alias("one"), F.max(some_hash).alias("other")).filter(F.col("one") != F.col("other")).select("doc_id")
+    tied = named.join(materialize(several, "jaccard-several"), "doc_id", "left_semi").distinct()
+    tied = tied.join(classes.select("set_hash", "rep"), "set_hash", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
+    ties = tied.join(tied.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").filter(F.col("rep") != F.col("b")).select(F.col("rep").alias("a"), "b").distinct()
     labels = materialize(connected_components(links.unionByName(ties), name="jaccard-components"), "jaccard-labels")
-    found = member.join(small_side(labels), member["rep"] == labels["node"], "left")
-    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.least(F.coalesce("label", "rep"), F.coalesce("rep", "doc_id"))).alias("component_id"))
+    # labels meet the classes first and then, class by class, the documents
+    labelled = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set_hash", F.coalesce("label", "rep").alias("component_id"))
+    with_set = F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull()
+    found = salted_join(sizes.filter(with_set), labelled, ["set_hash"], ["doc_id"]).select("doc_id", "n_shingles", "component_id")
+    rest = sizes.filter(~with_set).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
+    return found.unionByName(rest)
 
 
 def similar_pairs(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """Every link between class representatives: a < b, overlap. Members of a class are linked by definition and are not listed."""
     sizes = materialize(set_sizes(docs, size), "jaccard-sizes")
     classes = materialize(classes_of(sizes), "jaccard-classes")
-    found = class_links(docs, sizes, classes, size, percent, every=True)
+    found = class_links(docs, classes, size, percent, every=True)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "overlap").filter(F.col("a") != F.col("b")).distinct()

@@ -7,10 +7,12 @@ positions. The network is trained in numpy by backpropagation through time on a
 bounded sample of labelled windows; squashing is by x / (1 + |x|), which keeps
 a step to a few vector operations on thousands of windows at once.
 
-Defined cases: a null text or one without a letter is ``und`` with score 0;
-rows without a language are not learned from; if nothing can be learned every
-text is ``und``; repeated rows are labelled once each; further columns are
-ignored.
+Defined cases: a null text or one without a letter is ``und`` with score 0; of
+languages that tie the first in order is taken; a long text is labelled whole,
+a bounded number of windows at a time; rows without a language are not learned
+from; if nothing can be learned every text is ``und``; repeated rows are labelled
+once each; an empty table gives an empty result; further columns are ignored by
+``predict`` and kept by ``annotate``.
 """
 
 from __future__ import annotations
@@ -20,18 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import remainder, slices
+from .common import materialize, remainder, slices
 
 UNKNOWN = "und"
 STEPS = 64
 HIDDEN = 8
 #: Windows that go through the network together.
 LANES = 4096
-#: Bounds of the training sample: languages (the most frequent), documents of each, windows in all.
-MAX_LANGUAGES = 64
+#: Bounds of the training sample: documents of each language, windows in all (but one of each language at least).
 SAMPLE_DOCS = 400
 SAMPLE_WINDOWS = 12_000
 EPOCHS = 5
@@ -201,6 +202,18 @@ class LanguageModel:
 
         return _picked(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
+    def annotate(self, docs: DataFrame, pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
+        """``docs`` with all its columns, the predicted language and its score; narrow, no shuffle."""
+        model = self
+        docs = docs.drop(pred, score).withColumn("text", F.col("text").cast("string"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                langs, scores = model.label(batch.column("text").to_pylist())
+                yield batch.append_column(pred, pa.array(langs, pa.string())).append_column(score, pa.array(scores, pa.float64()))
+
+        return docs.mapInArrow(run, docs.withColumn(pred, F.lit("")).withColumn(score, F.lit(0.0)).schema)
+
     def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         with_letter = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
@@ -227,21 +240,19 @@ def _picked(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> LanguageModel:
     """Train on texts and languages of documents whose crc32(doc_id) mod 3 is not 1.
 
-    At most ``sample_docs`` documents of each of MAX_LANGUAGES languages, picked
-    by a hash of the id, of which ``sample_windows`` windows in all are used.
+    Every language there is becomes a class. Of each, ``sample_docs`` documents
+    are picked by a hash of the id, and of these ``sample_windows`` windows in
+    all are used. Both picks are ranked windows, which Spark limits within each
+    task before it shuffles, so a hot language sends no more than its limit.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & (remainder(F.col("doc_id"), MODULUS) != HELD_OUT)
     )
-    counted = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = tuple(sorted(r.lang for r in counted))
-    model = LanguageModel.start(languages)
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = materialize(usable.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= sample_docs).select("doc_id", "lang"), "languages")
+    languages = tuple(sorted(r.lang for r in picked.select("lang").distinct().collect()))
     if not languages:
-        return model
-    picked = None
-    for lang in languages:
-        some = usable.filter(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-        picked = some if picked is None else picked.unionByName(some)
+        return LanguageModel.start(languages)
     each = max(1, sample_windows // len(languages))
     numbers = {lang: k for k, lang in enumerate(languages)}
 
@@ -252,15 +263,14 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = S
             columns = [[r.tobytes() for r in rows], counts, [numbers[langs[i]] for i in owner], [ids[i] for i in owner], np.arange(len(rows))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()])], ["bytes", "counts", "label", "doc_id", "number"])
 
-    # at most sample_docs for each language: a proven bound for the broadcast
-    texts = _picked(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "lang")
+    texts = _picked(docs).join(picked, "doc_id").select("doc_id", "text", "lang")
     cuts = texts.mapInArrow(cut, "bytes binary, counts long, label int, doc_id long, number long")
-    rows = []
-    for k in range(len(languages)):
-        # short texts teach little by number, so they are put first
-        rows += cuts.filter(F.col("label") == k).orderBy(F.col("counts") == STEPS, F.xxhash64("doc_id", "number"), "doc_id", "number").limit(each).select("bytes", "counts", "label").collect()
+    # short texts teach little by number, so they are put first
+    order = Window.partitionBy("label").orderBy(F.col("counts") == STEPS, F.xxhash64("doc_id", "number"), "doc_id", "number")
+    rows = cuts.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= each).orderBy("label", "_rank").select("bytes", "counts", "label").collect()
     if not rows:
         return LanguageModel.start(())
+    model = LanguageModel.start(languages)
     data = np.stack([np.frombuffer(r["bytes"], np.uint8) for r in rows])
     model.train(data, np.array([r["counts"] for r in rows]), np.array([r["label"] for r in rows]))
     return model

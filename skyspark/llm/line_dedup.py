@@ -16,8 +16,10 @@ line's SHA-256.
 
 Defined cases: a null or empty text is one empty line; keys of fewer than
 ``min_chars`` code points are never dropped; rows with the same doc_id are one
-document; rows with a null doc_id keep all lines and are not counted; an empty
-table gives an empty index; further columns pass through untouched.
+document; rows with a null doc_id keep all lines and are not counted; of
+documents that tie on a line only the largest doc_id keeps it, with all its
+repeats there; texts of any length are cut whole; an empty table gives an empty
+index; further columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize, slices, small_side
+from .common import ASCII_SPACE, fresh, materialize, release_memory, salted_join, slices, small_side
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -201,8 +203,8 @@ class LineIndex:
 
     def droppable(self, refs: DataFrame) -> DataFrame:
         """The (key, doc_id) whose lines go: repeated keys, except in the largest document that holds them."""
-        hits = self._filtered(refs)
-        return hits.join(self.repeated.select("key", "last_doc"), "key").filter(F.col("doc_id") < F.col("last_doc")).select("key", "doc_id")
+        hits = materialize(self._filtered(refs), "line-hits")
+        return salted_join(hits, self.repeated.select("key", "last_doc"), ["key"], ["doc_id"]).filter(F.col("doc_id") < F.col("last_doc")).select("key", "doc_id")
 
     def _filtered(self, refs: DataFrame) -> DataFrame:
         """The rows whose key passes its shard's filter.
@@ -224,15 +226,16 @@ class LineIndex:
         For documents of the index. Columns of those names in the input are replaced.
         """
         drops = self.droppable(self.refs).groupBy("doc_id").agg(F.collect_list("key").alias("drop_keys"))  # at most a document's own lines
-        drops = materialize(drops, "line-drops").select(F.col("doc_id").alias("_line_doc"), F.col("drop_keys").alias("_line_drops"))
         docs = docs.drop("n_lines", "n_dropped")
-        joined = docs.join(drops, docs["doc_id"].cast("long") == F.col("_line_doc"), "left").drop("_line_doc")
+        by, gone_keys = fresh("line_doc", docs.columns), fresh("line_drops", docs.columns)
+        drops = materialize(drops, "line-drops").select(F.col("doc_id").alias(by), F.col("drop_keys").alias(gone_keys))
+        joined = docs.join(drops, docs["doc_id"].cast("long") == F.col(by), "left").drop(by)
         min_chars = self.min_chars
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 kept, total, dropped = [], [], []
-                for text, drop in zip(batch.column("text"), batch.column("_line_drops")):
+                for text, drop in zip(batch.column("text"), batch.column(gone_keys)):
                     text, gone = text.as_py() or "", drop.as_py()
                     total.append(text.count("\n") + 1)
                     if gone:
@@ -244,11 +247,11 @@ class LineIndex:
                     else:
                         dropped.append(0)
                     kept.append(text)
-                out = batch.drop_columns(["_line_drops"])
+                out = batch.drop_columns([gone_keys])
                 out = out.set_column(out.schema.get_field_index("text"), "text", pa.array(kept, pa.string()))
                 yield out.append_column("n_lines", pa.array(total, pa.int64())).append_column("n_dropped", pa.array(dropped, pa.int64()))
 
-        schema = joined.drop("_line_drops").withColumn("text", F.col("text").cast("string")).withColumn("n_lines", F.lit(0).cast("long")).withColumn("n_dropped", F.lit(0).cast("long")).schema
+        schema = joined.drop(gone_keys).withColumn("text", F.col("text").cast("string")).withColumn("n_lines", F.lit(0).cast("long")).withColumn("n_dropped", F.lit(0).cast("long")).schema
         return joined.mapInArrow(run, schema)
 
 
@@ -261,7 +264,9 @@ def _probe_shard(lines: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
     if not len(lines) or not len(held):  # no rows, or no repeated key in the shard
         return lines.iloc[:0].reindex(columns=["key", "doc_id"])
     hit = CuckooFilter.from_bytes(held["data"].iloc[0]).contains([bytes(k) for k in lines["key"]])
-    return lines.loc[hit, ["key", "doc_id"]]
+    found = lines.loc[hit, ["key", "doc_id"]]
+    release_memory()
+    return found
 
 
 def _update_shard(change: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from .common import CACHES
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
@@ -22,6 +24,7 @@ class WordHashes(dict):
 
 
 _hashes = WordHashes()
+CACHES.append(_hashes)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
