@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,15 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    A session on one machine (master ``local``) may leave it unset and gets a
+    temporary folder; on a cluster that is an error, as the disks differ.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("skyspark.scratch.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("skyspark.scratch.dir", base)
     return base.rstrip("/")
