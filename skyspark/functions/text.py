@@ -18,12 +18,17 @@ def safe_part(text: Column) -> Column:
 
 
 def mjd_part(mjd: Column) -> Column:
-    """MJD with eight decimals and 'p' for the point. Rounded on the integer side, so every engine agrees."""
-    units = F.round(mjd * F.lit(100000000.0)).cast("long")
+    """MJD with eight decimals and 'p' for the point, a minus sign first. Rounded on the integer side, so every engine agrees."""
+    units = F.round(F.abs(mjd) * F.lit(100000000.0)).cast("long")
     whole = F.floor(units / F.lit(100000000)).cast("long")
-    return F.concat(whole.cast("string"), F.lit("p"), F.lpad((units - whole * 100000000).cast("string"), 8, "0"))
+    return F.concat(F.when(mjd < 0, "-").otherwise(""), whole.cast("string"), F.lit("p"), F.lpad((units - whole * 100000000).cast("string"), 8, "0"))
 
 
 def chunk_key(label: Column, start: Column, end: Column, tag: Column) -> Column:
     """the key of a cached chunk."""
     return F.concat_ws("__", safe_part(label), mjd_part(start), mjd_part(end), safe_part(tag))
+
+
+def pull_key(start: Column, end: Column, include_upper: Column, max_results: int, split_threshold: int) -> Column:
+    """F5 with every setting that decides what a cached chunk of an adaptive pull stands for; label and tag are keys of their own."""
+    return F.concat_ws("__", mjd_part(start), mjd_part(end), F.when(include_upper, "closed").otherwise("open"), F.lit(f"cap{max_results}"), F.lit(f"split{split_threshold}"))

@@ -11,8 +11,11 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.mjd import SECONDS_PER_DAY
+from ..functions.mjd import SECONDS_PER_DAY, days_to_seconds
+from ..functions.text import pull_key, safe_part
 from ..schema import MJD
+from ..sources.chunk_cache import PARTS, ChunkCache
+from ..sources.storage import new_folder
 from .dedupe import newest_per_locus
 from .ranges import window_scan
 
@@ -52,46 +55,74 @@ def depth_of(width: float, min_days: float) -> int:
     return max(0, math.ceil(math.log2(width / (1.01 * min_days)))) + 1 if width > 0 else 0
 
 
-def adaptive_report(loci: DataFrame, label: str, lo: float, hi: float, initial_days: float = 1.0, min_seconds: float = 30.0, max_results: int = 10_000, split_threshold: int = 9_500) -> DataFrame:
-    """One row for each window that halving attempts, with its status.
+def _placed(loci: DataFrame, lo: float, hi: float, width: float, depth: int) -> DataFrame:
+    """Rows of the range with their root chunk ``i`` and the part of it (``leaf``, of 2**depth) they lie in."""
+    i = chunk_of(F.col(MJD), lo, hi, width)
+    start, end = _edges(F.col("i"), lo, hi, width)
+    size = end - start
+    leaves = float(1 << depth)
+    leaf = F.when(size > 0, F.least(F.floor((F.col(MJD) - start) / size * F.lit(leaves)), F.lit(leaves - 1))).otherwise(F.lit(0)).cast("long")
+    return window_scan(loci, lo, hi).withColumn("i", i).withColumn("leaf", leaf)
 
-    Counts and widths shrink down a dyadic tree, so a window is attempted just
-    if it is a root or its parent splits. The rows are counted once, at the
-    finest level; all coarser counts are sums of that small result.
-    """
+
+def _ancestors(leaves: DataFrame, depth: int) -> DataFrame:
+    """The windows (i, d, k) that each leaf lies in, with the leaf's other columns."""
+    levels = leaves.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(depth))))
+    return levels.withColumn("k", F.floor(F.col("leaf") / F.pow(F.lit(2.0), F.lit(depth) - F.col("d"))).cast("long"))
+
+
+def _windows(loci: DataFrame, label: str, lo: float, hi: float, initial_days: float, min_seconds: float, max_results: int, split_threshold: int, tag: str | None = None, cached: DataFrame | None = None) -> DataFrame:
+    """The attempted windows with i, d, k and cache keys. A window that is ``cached`` (keys, n) is taken as it is and not split."""
     spark, min_days = loci.sparkSession, min_seconds / SECONDS_PER_DAY
     width = max(float(initial_days), min_days)
     threshold = min(int(split_threshold), int(max_results))
     n_chunks, depth = _spine_size(lo, hi, width), depth_of(min(width, hi - lo), min_days)
-    leaves = 1 << depth
-    i = chunk_of(F.col(MJD), lo, hi, width)
-    placed = window_scan(loci, lo, hi).select(MJD, i.alias("i"))
     start, end = _edges(F.col("i"), lo, hi, width)
-    size = end - start
-    leaf = F.when(size > 0, F.least(F.floor((F.col(MJD) - start) / size * F.lit(float(leaves))), F.lit(leaves - 1))).otherwise(F.lit(0)).cast("long")
-    counted = placed.groupBy("i", leaf.alias("leaf")).agg(F.count("*").alias("n"))
-    levels = counted.select("i", "leaf", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("d"))
-    node = F.floor(F.col("leaf") / F.pow(F.lit(2.0), F.lit(depth) - F.col("d"))).cast("long")
-    nodes = levels.groupBy("i", "d", node.alias("k")).agg(F.sum("n").alias("n"))
-    size_at = size / F.pow(F.lit(2.0), F.col("d"))
+    size_at = (end - start) / F.pow(F.lit(2.0), F.col("d"))
     can_split = size_at > F.lit(1.01 * min_days)
+    low, high = start + F.col("k") * size_at, start + (F.col("k") + 1) * size_at
+    upper = (F.col("i") == n_chunks - 1) & (F.col("k") == F.pow(F.lit(2.0), F.col("d")).cast("long") - 1)
+    counted = _placed(loci, lo, hi, width, depth).groupBy("i", "leaf").agg(F.count("*").alias("n"))
+    nodes = _ancestors(counted, depth).groupBy("i", "d", "k").agg(F.sum("n").alias("n"))
+    keys = {"label_key": safe_part(F.lit(label)), "tag_key": safe_part(F.lit(tag).cast("string")), "chunk_key": pull_key(low, high, upper, int(max_results), threshold)}
     split = nodes.filter((F.col("n") >= threshold) & can_split)
+    if cached is not None:
+        split = split.withColumns(keys).join(cached, list(keys), "left_anti")
     children = split.select("i", (F.col("d") + 1).alias("d"), F.explode(F.array(F.col("k") * 2, F.col("k") * 2 + 1)).alias("k"))
     roots = spark.range(n_chunks if lo <= hi else 0).select(F.col("id").alias("i"), F.lit(0).alias("d"), F.lit(0).cast("long").alias("k"))
-    attempted = roots.unionByName(children).join(nodes, ["i", "d", "k"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    attempted = roots.unionByName(children).join(nodes, ["i", "d", "k"], "left").withColumns(keys)
+    held = F.lit(None).cast("long")
+    if cached is not None:
+        attempted = attempted.join(cached.select(*keys, F.col("n").alias("n_cached")), list(keys), "left")
+        held = F.col("n_cached")
+    attempted = attempted.withColumn("source", F.when(held.isNotNull(), "cache").otherwise("live")).withColumn("n", F.coalesce(held, "n", F.lit(0).cast("long")))
     full = F.col("n") >= threshold
-    status = F.when(full & can_split, "split").when(full, "accepted_at_minimum_saturated").otherwise("accepted")
+    status = F.when(full & can_split & (F.col("source") == "live"), "split").when(full, "accepted_at_minimum_saturated").otherwise("accepted")
     return attempted.select(
         F.lit(label).alias("label"),
-        (start + F.col("k") * size_at).alias("mjd_min"),
-        (start + (F.col("k") + 1) * size_at).alias("mjd_max"),
-        (size_at * SECONDS_PER_DAY).alias("width_seconds"),
+        low.alias("mjd_min"),
+        high.alias("mjd_max"),
+        days_to_seconds(size_at).alias("width_seconds"),
         F.least("n", F.lit(max_results).cast("long")).alias("n_loci"),
         status.alias("status"),
-        F.lit("live").alias("source"),
-        ((F.col("i") == n_chunks - 1) & (F.col("k") == F.pow(F.lit(2.0), F.col("d")).cast("long") - 1)).alias("include_upper"),
+        "source",
+        upper.alias("include_upper"),
         F.lit(None).cast("string").alias("error"),
-    )
+        "i", "d", "k", *keys,
+    )
+
+
+REPORT = ["label", "mjd_min", "mjd_max", "width_seconds", "n_loci", "status", "source", "include_upper", "error"]
+
+
+def adaptive_report(loci: DataFrame, label: str, lo: float, hi: float, initial_days: float = 1.0, min_seconds: float = 30.0, max_results: int = 10_000, split_threshold: int = 9_500) -> DataFrame:
+    """One row for each window that halving attempts, with its status.
+
+    Counts and widths shrink down a dyadic tree, so a window is attempted just
+    if it is a root or its parent splits. The rows are counted once, at the
+    finest level; all coarser counts are sums of that small result.
+    """
+    return _windows(loci, label, lo, hi, initial_days, min_seconds, max_results, split_threshold).select(REPORT)
 
 
 def ordered_report(report: DataFrame) -> DataFrame:
@@ -104,6 +135,35 @@ def status_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("status").agg(F.count("*").alias("n"))
 
 
-def adaptive_pull(loci: DataFrame, label: str, lo: float, hi: float, tie: list[str], tag: str | None = None, **plan) -> tuple[DataFrame, DataFrame]:
-    """The newest row of each locus in the range, and the plan's report."""
-    return newest_per_locus(window_scan(loci, lo, hi, tag), tie), adaptive_report(window_scan(loci, lo, hi, tag), label, lo, hi, **plan)
+def adaptive_pull(
+    loci: DataFrame, label: str, lo: float, hi: float, tie: list[str], tag: str | None = None, cache: ChunkCache | None = None, use_cache: bool = True,
+    initial_days: float = 1.0, min_seconds: float = 30.0, max_results: int = 10_000, split_threshold: int = 9_500,
+) -> tuple[DataFrame, DataFrame]:
+    """The newest row of each locus in the range, and the plan's report.
+
+    With a ``cache``, accepted windows that it holds in full come from there, and
+    the others are read and put into it (``source`` in the report tells which).
+    ``use_cache=False`` neither reads nor writes it.
+    """
+    plan = (initial_days, min_seconds, max_results, split_threshold)
+    rows = window_scan(loci, lo, hi, tag)
+    if cache is None or not use_cache:
+        return newest_per_locus(rows, tie), adaptive_report(rows, label, lo, hi, *plan)
+    spark = loci.sparkSession
+    held = cache.chunks()
+    windows = _windows(rows, label, lo, hi, *plan, tag=tag, cached=held)
+    path = new_folder(spark, "chunk-plan")
+    windows.write.parquet(path)  # decided before the cache changes
+    windows = spark.read.schema(windows.schema).parquet(path)
+    accepted = windows.filter(F.col("status") != "split")
+    missed = accepted.filter(F.col("source") == "live")
+    min_days = min_seconds / SECONDS_PER_DAY
+    width = max(float(initial_days), min_days)
+    depth = depth_of(min(width, hi - lo), min_days)
+    placed = _placed(rows, lo, hi, width, depth)
+    place = _ancestors(placed.select("i", "leaf").distinct(), depth).join(missed.select("i", "d", "k", *PARTS), ["i", "d", "k"]).select("i", "leaf", *PARTS)
+    fresh = placed.join(place, ["i", "leaf"]).drop("i", "leaf")
+    cache.write(fresh, missed)
+    pulled = cache.read()
+    pulled = placed.drop("i", "leaf").filter(F.lit(False)) if pulled is None else pulled.join(accepted.select(*PARTS), PARTS, "left_semi").drop(*PARTS)
+    return newest_per_locus(pulled, tie), windows.select(REPORT)

@@ -39,12 +39,14 @@ def quality_checks(
     loci_columns: Set[str] = frozenset((ID, MJD)),
     alert_columns: Set[str] = frozenset((ALERT_MAG,)),
     era_start: float = ERA_START,
+    info_tag: str = "in_LSSTDDF",
 ) -> DataFrame:
     """check_no, range_label, name, status (PASS, WARN, FAIL, SKIP, INFO), observed, detail.
 
     ``loci`` and ``alerts`` carry ``range_label``; ``ranges`` has range_no,
     label, mjd_min, mjd_max and valid for a handful of ranges. The column sets
-    say which columns the inputs really had.
+    say which columns the inputs really had. ``info_tag`` is counted over all
+    ranges together (U3).
     """
     bounds = ranges.select(F.col("label").alias("range_label"), "range_no", "mjd_min", "mjd_max", "valid")
     ra_ok, dec_ok = coordinate_ok(F.col("ra"), F.col("dec"))
@@ -59,11 +61,11 @@ def quality_checks(
         F.count_if(~dec_ok).alias("bad_dec"),
         F.count_if(mjd < era_start).alias("early"),
         (F.count("*") - F.countDistinct(ID)).alias("duplicates"),
-        F.count_if(tag_contains("in_LSSTDDF")).alias("tagged"),
+        F.count_if(tag_contains(info_tag)).alias("tagged"),
     )
     by_alert = alerts.groupBy("range_label").agg(F.count("*").alias("n_alerts"), F.count(ALERT_MAG).alias("n_mag"), F.count_if(F.col(ALERT_MAG).between(mag_min, mag_max)).alias("in_window"))
     zero = F.lit(0).cast("long")
-    counts = ["n", "n_mjd", "below", "above", "bad_ra", "bad_dec", "early", "duplicates", "tagged", "n_alerts", "n_mag", "in_window"]
+    counts = ["n", "n_mjd", "below", "above", "bad_ra", "bad_dec", "early", "duplicates", "n_alerts", "n_mag", "in_window"]
     wide = bounds.join(by_range, "range_label", "left").join(by_alert, "range_label", "left").withColumns({c: F.coalesce(c, zero) for c in counts})
     valid, some = F.col("valid"), F.col("n") > 0
 
@@ -79,13 +81,14 @@ def quality_checks(
         _check(3, "ra_valid", graded(valid & some, F.col("bad_ra") == 0, "WARN"), F.col("bad_ra"), number(F.col("bad_ra"), " bad")),
         _check(3, "dec_valid", graded(valid & some, F.col("bad_dec") == 0, "WARN"), F.col("bad_dec"), number(F.col("bad_dec"), " bad")),
         _check(4, "survey_era", graded(valid & some & has_mjd, early < ERA_SHARE, "WARN"), early, number(F.col("early"), " of ", F.col("n_mjd"), " early")),
-        _check(4, "tagged_ddf", F.lit("INFO"), F.col("tagged"), number(F.col("tagged"), " loci")),
         _check(5, "magnitudes", F.when(~valid, "SKIP").when((F.col("n_alerts") == 0) | ~has_mag, "WARN").when(bright >= MAG_SHARE, "PASS").otherwise("FAIL"), bright, number(F.col("in_window"), " of ", F.col("n_mag"), " in window")),
         _check(6, "unique_ids", graded(valid & some & has_id, F.col("duplicates") == 0, "WARN"), F.col("duplicates"), number(F.col("duplicates"), " duplicates")),
         _check(8, "range_order", F.when((F.col("mjd_min") > F.col("mjd_max")) & valid, "FAIL").otherwise("PASS"), F.col("mjd_max") - F.col("mjd_min"), F.lit("")),
     )
     each = wide.select("range_label", F.inline(checks))
-    return each.unionByName(_overlap_checks(loci, ranges)).select("check_no", "range_label", "name", "status", "observed", "detail")
+    both = by_range.agg(F.coalesce(F.sum("tagged"), zero).alias("tagged"))
+    tagged = both.select(F.lit(None).cast("string").alias("range_label"), F.inline(F.array(_check(4, "tagged", F.lit("INFO"), F.col("tagged"), number(F.col("tagged"), " loci")))))
+    return each.unionByName(tagged).unionByName(_overlap_checks(loci, ranges)).select("check_no", "range_label", "name", "status", "observed", "detail")
 
 
 def _overlap_checks(loci: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.mjd import mjd_to_date, timestamp_to_mjd
+from .functions.mjd import mjd_to_date, seconds_to_days, timestamp_to_mjd
 from .functions.text import chunk_key, mjd_part, safe_part
 from .operators import alerts as al
 from .operators import chunks, density, quality, ranges, sample, summary
 from .operators.dedupe import newest_per_locus
-from .schema import ALERT_BAND, ALERT_MAG, ID, MAG, MJD, OBS
+from .schema import ALERT_BAND, ALERT_MAG, ID, LOCI, MAG, MJD, OBS, empty
 from .sources import storage, tables
 from .sources.chunk_cache import ChunkCache
 from .sources.raw import flatten_loci, malformed_count, parse_properties
@@ -35,7 +35,7 @@ def window_scan_closed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def window_scan_half_open(spark: SparkSession, d: str) -> DataFrame:
-    """The event records of one hour, whose bounds are event times."""
+    """The event records of half a day, whose bounds are event times."""
     return ranges.window_scan(tables.raw_records(spark, d), 60320.0, 60320.5, include_upper=False).select(ID, MJD, "ingest_seq")
 
 
@@ -94,8 +94,8 @@ def _all_alerts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def band_counts(spark: SparkSession, d: str) -> DataFrame:
-    """G5, J3."""
-    return al.band_counts(_all_alerts(spark, d)[1]).select("range_label", ALERT_BAND, "band", "n")
+    """G5, J3, L4."""
+    return al.band_counts(_all_alerts(spark, d)[1]).select("range_label", ALERT_BAND, "band", "n").orderBy("range_label", ALERT_BAND)
 
 
 def dedupe_newest(spark: SparkSession, d: str) -> DataFrame:
@@ -147,10 +147,10 @@ def fixed_chunk_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def adaptive_chunk_report(spark: SparkSession, d: str) -> DataFrame:
-    """C2-C4."""
+    """C2-C4, L4, F7."""
     report = chunks.adaptive_report(tables.raw_records(spark, d), "events", FIRST_DAY, LAST_DAY, **PLAN)
     edges = {c: F.round(c, 9) for c in ("mjd_min", "mjd_max")} | {"width_seconds": F.round("width_seconds", 6)}
-    return report.withColumns(edges)
+    return chunks.ordered_report(report.withColumns(edges))
 
 
 def chunk_status_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -164,12 +164,37 @@ def adaptive_pull(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(ID, MJD, MAG, "ingest_seq")
 
 
+def _pulled_twice(spark: SparkSession, d: str, lo: float, hi: float, tag: str | None) -> tuple[DataFrame, DataFrame]:
+    cache = ChunkCache(spark, storage.new_folder(spark, "pulls"))
+    pull = lambda: chunks.adaptive_pull(tables.raw_records(spark, d).drop("properties", "tags_arr"), "events", lo, hi, ["ingest_seq"], tag, cache, **PLAN)
+    pull()
+    return pull()
+
+
+def cached_pull(spark: SparkSession, d: str) -> DataFrame:
+    """A pull whose accepted chunks an earlier one has cached."""
+    return _pulled_twice(spark, d, 60320.0, 60330.0, "click")[0].select(ID, MJD, MAG, "ingest_seq")
+
+
+def cached_pull_report(spark: SparkSession, d: str) -> DataFrame:
+    """The report of such a pull over the whole month."""
+    report = _pulled_twice(spark, d, FIRST_DAY, LAST_DAY, None)[1]
+    edges = {c: F.round(c, 9) for c in ("mjd_min", "mjd_max")} | {"width_seconds": F.round("width_seconds", 6)}
+    return report.withColumns(edges)
+
+
+def typed_empty(spark: SparkSession, d: str) -> DataFrame:
+    """A typed empty result takes part in a union like any other; F6."""
+    found = ranges.window_scan(tables.loci(spark, d), LAST[1], LAST[2]).select(CORE)
+    return empty(spark, LOCI).select(CORE).unionByName(found).withColumn("age_days", F.round(seconds_to_days(F.round((F.lit(LAST[2]) - F.col(MJD)) * 86400)), 9)).select(ID, MJD, "age_days")
+
+
 def chunk_keys(spark: SparkSession, d: str) -> DataFrame:
     """F3-F5."""
     records = tables.raw_records(spark, d)
     label = F.concat(F.lit(" Night of "), F.element_at("tags_arr", 1), F.lit("! "))
     tag = F.when(F.col("ingest_seq") % 3 == 0, F.element_at("tags_arr", 1)).when(F.col("ingest_seq") % 3 == 1, F.lit("!!"))
-    return records.select("ingest_seq", safe_part(label).alias("label_key"), mjd_part(F.col(MJD)).alias("start_key"), chunk_key(label, F.col(MJD), F.col(MJD) + 1, tag).alias("chunk_key"))
+    return records.select("ingest_seq", safe_part(label).alias("label_key"), mjd_part(F.col(MJD)).alias("start_key"), mjd_part(60320.5 - F.col(MJD)).alias("offset_key"), chunk_key(label, F.col(MJD), F.col(MJD) + 1, tag).alias("chunk_key"))
 
 
 def mjd_to_dates(spark: SparkSession, d: str) -> DataFrame:
@@ -229,7 +254,7 @@ def range_overlap(spark: SparkSession, d: str) -> DataFrame:
 def _checks(spark: SparkSession, d: str) -> DataFrame:
     labelled = ranges.label_ranges(tables.dirty_loci(spark, d), RANGES)
     found = al.alerts_for(ranges.label_ranges(tables.loci(spark, d), RANGES), tables.alerts(spark, d))
-    return quality.quality_checks(labelled, found, ranges.ranges_frame(spark, RANGES), era_start=50000.0)
+    return quality.quality_checks(labelled, found, ranges.ranges_frame(spark, RANGES), era_start=50000.0, info_tag="1-URGENT")
 
 
 def dq_suite(spark: SparkSession, d: str) -> DataFrame:
@@ -256,12 +281,12 @@ def snapshot_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def chunk_cache_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Days of records cached, one of them again, then read and compared with the plan."""
     records = tables.raw_records(spark, d)
-    spine = chunks.chunk_spine(spark, FIRST_DAY, FIRST_DAY + 10, 1.0)
+    spine = chunks.chunk_spine(spark, FIRST_DAY, LAST_DAY, 1.0)
     keyed = spine.select("chunk", F.lit("events").alias("label_key"), F.lit("all").alias("tag_key"), chunk_key(F.lit("events"), F.col("mjd_min"), F.col("mjd_max"), F.lit(None).cast("string")).alias("chunk_key"))
-    day = chunks.chunk_of(F.col(MJD), FIRST_DAY, FIRST_DAY + 10, 1.0)
-    rows = ranges.window_scan(records, FIRST_DAY, FIRST_DAY + 10, include_upper=False).select(ID, MJD, "ingest_seq", day.alias("chunk")).join(F.broadcast(keyed), "chunk")
+    day = chunks.chunk_of(F.col(MJD), FIRST_DAY, LAST_DAY, 1.0)
+    rows = ranges.window_scan(records, FIRST_DAY, LAST_DAY).select(ID, MJD, "ingest_seq", day.alias("chunk")).join(F.broadcast(keyed), "chunk")
     cache = ChunkCache(spark, storage.new_folder(spark, "chunks"))
-    cache.write(rows.filter("chunk < 8"))
+    cache.write(rows.filter("chunk < 28"))
     cache.write(rows.filter("chunk = 3"))
     missing = cache.missing(keyed).select(F.lit("").alias(ID), F.lit(-1).cast("long").alias("ingest_seq"), "chunk")
     return cache.read().select(ID, "ingest_seq", "chunk").unionByName(missing)
@@ -283,7 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         window_scan_closed, window_scan_half_open, tag_filter, tag_contains, flatten_properties, malformed_rows, newest_first_topn, seeded_sample_topn, first_loci,
         two_range_label, alerts_for_sample, band_counts, dedupe_newest, dedupe_null_time, cumulative_upsert, cumulative_range_read, store_stats,
-        fixed_chunks, fixed_chunk_counts, adaptive_chunk_report, chunk_status_counts, adaptive_pull, chunk_keys, mjd_to_dates, sky_wrap,
+        fixed_chunks, fixed_chunk_counts, adaptive_chunk_report, chunk_status_counts, adaptive_pull, cached_pull, cached_pull_report, typed_empty, chunk_keys, mjd_to_dates, sky_wrap,
         sky_density_2d, mag_hist_by_band, mag_hist_all, mag_hist_fallback, range_summary, range_config, range_overlap, dq_suite, dq_verdict,
         snapshot_roundtrip, chunk_cache_roundtrip, stream_upsert,
     )
@@ -375,7 +400,7 @@ _CHECKS = f"""dirty_labelled AS (
   SELECT label AS range_label, r.lo, r.hi,
     count({ID}) AS n, count({MJD}) AS n_mjd, count(*) FILTER ({MJD} < r.lo - 0.02) AS below, count(*) FILTER ({MJD} > r.hi + 0.02) AS above,
     count(*) FILTER (NOT coalesce(ra >= 0 AND ra < 360, false)) AS bad_ra, count(*) FILTER (NOT coalesce(dec BETWEEN -90 AND 90, false)) AS bad_dec,
-    count(*) FILTER ({MJD} < 50000) AS early, count(*) - count(DISTINCT {ID}) AS dup, count(*) FILTER (tags LIKE '%in_LSSTDDF%') AS tagged
+    count(*) FILTER ({MJD} < 50000) AS early, count(*) - count(DISTINCT {ID}) AS dup, count(*) FILTER (tags LIKE '%1-URGENT%') AS tagged
   FROM ranges r JOIN dirty_labelled d ON d.range_label = r.label GROUP BY ALL
 ), mags AS (
   SELECT range_label, count(*) AS n_alerts, count({ALERT_MAG}) AS n_mag, count(*) FILTER ({ALERT_MAG} BETWEEN 15 AND 25) AS in_window FROM found GROUP BY ALL
@@ -391,7 +416,7 @@ checks AS (
   UNION ALL SELECT 3, range_label, 'ra_valid', CASE WHEN bad_ra = 0 THEN 'PASS' ELSE 'WARN' END, bad_ra, bad_ra || ' bad' FROM w
   UNION ALL SELECT 3, range_label, 'dec_valid', CASE WHEN bad_dec = 0 THEN 'PASS' ELSE 'WARN' END, bad_dec, bad_dec || ' bad' FROM w
   UNION ALL SELECT 4, range_label, 'survey_era', CASE WHEN early_share < 0.05 THEN 'PASS' ELSE 'WARN' END, early_share, early || ' of ' || n_mjd || ' early' FROM w
-  UNION ALL SELECT 4, range_label, 'tagged_ddf', 'INFO', tagged, tagged || ' loci' FROM w
+  UNION ALL SELECT 4, NULL, 'tagged', 'INFO', sum(tagged), CAST(CAST(sum(tagged) AS BIGINT) AS VARCHAR) || ' loci' FROM w
   UNION ALL SELECT 5, range_label, 'magnitudes', CASE WHEN n_alerts = 0 THEN 'WARN' WHEN bright >= 0.5 THEN 'PASS' ELSE 'FAIL' END, bright, in_window || ' of ' || n_mag || ' in window' FROM w
   UNION ALL SELECT 6, range_label, 'unique_ids', CASE WHEN dup = 0 THEN 'PASS' ELSE 'WARN' END, dup, dup || ' duplicates' FROM w
   UNION ALL SELECT 8, range_label, 'range_order', 'PASS', hi - lo, '' FROM w
@@ -433,7 +458,10 @@ ORACLE_SQL: dict[str, str] = {
     "adaptive_chunk_report": _with(_RAW, _PLAN) + "SELECT * FROM report",
     "chunk_status_counts": _with(_RAW, _PLAN) + "SELECT status, count(*) AS n FROM report GROUP BY status",
     "adaptive_pull": _with(_RAW.replace("FROM events", "FROM events WHERE event_type = 'click'"), f"inside AS (SELECT * FROM raw WHERE {MJD} BETWEEN 60320 AND 60330)") + _NEWEST.replace("FROM raw", "FROM inside"),
-    "chunk_keys": _with(_RAW, "named AS (SELECT *, ' Night of ' || tag || '! ' AS label, CASE ingest_seq % 3 WHEN 0 THEN tag WHEN 1 THEN '!!' END AS t FROM raw)") + f"SELECT ingest_seq, {_SAFE('label')} AS label_key, {_PART(MJD)} AS start_key, {_SAFE('label')} || '__' || {_PART(MJD)} || '__' || {_PART("(" + MJD + " + 1)")} || '__' || {_SAFE('t')} AS chunk_key FROM named",
+    "cached_pull": _with(_RAW.replace("FROM events", "FROM events WHERE event_type = 'click'"), f"inside AS (SELECT * FROM raw WHERE {MJD} BETWEEN 60320 AND 60330)") + _NEWEST.replace("FROM raw", "FROM inside"),
+    "cached_pull_report": _with(_RAW, _PLAN) + "SELECT * REPLACE (CASE WHEN status = 'split' THEN 'live' ELSE 'cache' END AS source) FROM report",
+    "typed_empty": _with(_LOCI) + f"SELECT {ID}, {MJD}, round(round(({_D(LAST[2])} - {MJD}) * 86400) / 86400, 9) AS age_days FROM loci WHERE {MJD} BETWEEN {LAST[1]} AND {LAST[2]}",
+    "chunk_keys": _with(_RAW, "named AS (SELECT *, ' Night of ' || tag || '! ' AS label, CASE ingest_seq % 3 WHEN 0 THEN tag WHEN 1 THEN '!!' END AS t FROM raw)") + f"SELECT ingest_seq, {_SAFE('label')} AS label_key, {_PART(MJD)} AS start_key, CASE WHEN 60320.5 - {MJD} < 0 THEN '-' ELSE '' END || {_PART('abs(60320.5 - ' + MJD + ')')} AS offset_key, {_SAFE('label')} || '__' || {_PART(MJD)} || '__' || {_PART("(" + MJD + " + 1)")} || '__' || {_SAFE('t')} AS chunk_key FROM named",
     "mjd_to_dates": f"SELECT event_id, {_MJD('ts')} AS mjd, CAST(DATE '1858-11-17' + CAST(floor({_MJD('ts')}) AS INTEGER) AS VARCHAR) AS day FROM events",
     "sky_wrap": _with(_LOCI, _DIRTY, _RANGES) + f"SELECT {ID}, round(CASE WHEN radians(ra) > pi() THEN radians(ra) - 2 * pi() ELSE radians(ra) END, 9) AS ra_rad, round(radians(dec), 9) AS dec_rad FROM dirty JOIN ranges ON {MJD} BETWEEN lo AND hi WHERE ra IS NOT NULL AND dec IS NOT NULL",
     "sky_density_2d": _with(_LOCI, _RANGES, _LABELLED, "ext AS (SELECT range_label, min(ra) AS x0, max(ra) AS x1, min(dec) AS y0, max(dec) AS y1, count(*) AS n_range FROM labelled GROUP BY 1)") + f"SELECT range_label, n_range, least(CAST(floor((ra - x0) / (x1 - x0) * {_D(80)}) AS INTEGER), 79) AS bx, least(CAST(floor((dec - y0) / (y1 - y0) * {_D(80)}) AS INTEGER), 79) AS \"by\", count(*) AS n FROM labelled JOIN ext USING (range_label) GROUP BY ALL",
@@ -446,6 +474,6 @@ ORACLE_SQL: dict[str, str] = {
     "dq_suite": _with(*_CHECK_PARTS) + "SELECT * REPLACE (round(observed, 9) AS observed) FROM checks",
     "dq_verdict": _with(*_CHECK_PARTS) + "SELECT status, count(*) AS n FROM checks GROUP BY status",
     "snapshot_roundtrip": _with(_LOCI, _ALERTS, _RANGES, _LABELLED, _SAMPLED, _SAMPLED_ALERTS) + f"SELECT range_label, {ID}, {ALERT_BAND}, {ALERT_MAG} FROM found",
-    "chunk_cache_roundtrip": _with(_RAW) + f"SELECT {ID}, ingest_seq, CAST(floor({MJD} - 60310) AS BIGINT) AS chunk FROM raw WHERE {MJD} >= 60310 AND {MJD} < 60318 UNION ALL SELECT '', -1, unnest([8, 9])",
+    "chunk_cache_roundtrip": _with(_RAW) + f"SELECT {ID}, ingest_seq, CAST(floor({MJD} - 60310) AS BIGINT) AS chunk FROM raw WHERE {MJD} >= 60310 AND {MJD} < 60338 UNION ALL SELECT '', -1, unnest([28, 29])",
     "stream_upsert": _with(_RAW) + _NEWEST,
 }

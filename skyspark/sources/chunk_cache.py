@@ -1,34 +1,83 @@
-"""Rows of finished chunks, in one parquet table partitioned by chunk key."""
+"""Rows of finished chunks, in one parquet table partitioned by chunk key.
+
+Beside the rows lies a manifest: for each chunk its number of rows, a checksum
+over all columns and the schema. A chunk counts as cached only if what can be read
+of it agrees with the manifest, so an unreadable, cut-off or half-written chunk is
+a miss, and an empty chunk is a hit without rows.
+"""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import storage
 
 PARTS = ["label_key", "tag_key", "chunk_key"]
+_MANIFEST = "n long, checksum decimal(38,0), row_schema string, label_key string, tag_key string, chunk_key string"
 
 
 class ChunkCache:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
 
-    def write(self, rows: DataFrame) -> None:
-        """Replace the chunks that the rows (with the key columns) belong to; other chunks stay."""
-        rows.repartition(*PARTS).write.partitionBy(*PARTS).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
+    def _put(self, rows: DataFrame, name: str) -> None:
+        rows.write.partitionBy(*PARTS).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{self.path}/{name}")
 
-    def read(self) -> DataFrame | None:
-        """All cached rows; None if nothing was cached or it cannot be read."""
-        if not storage.children(self.spark, self.path):  # dynamic overwrite leaves no mark of success
+    @staticmethod
+    def _sums(rows: DataFrame) -> DataFrame:
+        values = [c for c in rows.columns if c not in PARTS]
+        return rows.groupBy(*PARTS).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*sorted(values)).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("checksum"))
+
+    def write(self, rows: DataFrame, chunks: DataFrame | None = None) -> None:
+        """Replace the chunks that the rows (with the key columns) belong to; other chunks stay.
+
+        ``chunks``: keys of all chunks meant, of which those without rows are noted
+        as empty. Rows are rebalanced, so a hot chunk is written by several tasks.
+        """
+        rows = rows.withColumns({c: F.col(c).cast("string") for c in PARTS})
+        self._put(rows.hint("rebalance", *PARTS), "rows")
+        sums = self._sums(rows)
+        if chunks is not None:
+            sums = chunks.select(*PARTS).join(sums, PARTS, "left").select(*PARTS, F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("checksum", F.lit(0)).cast("decimal(38,0)").alias("checksum"))
+        schema = StructType([f for f in rows.schema.fields if f.name not in PARTS]).json()
+        self._put(sums.withColumn("row_schema", F.lit(schema)).coalesce(1), "manifest")  # one narrow row for each chunk
+
+    def _manifest(self) -> DataFrame | None:
+        if not storage.children(self.spark, f"{self.path}/manifest"):  # dynamic overwrite leaves no mark of success
             return None
-        return self.spark.read.option("ignoreCorruptFiles", "true").parquet(self.path)
+        return self.spark.read.schema(_MANIFEST).option("ignoreCorruptFiles", "true").parquet(f"{self.path}/manifest")
 
-    def keys(self) -> DataFrame | None:
-        cached = self.read()
-        return None if cached is None else cached.select([F.col(c).cast("string").alias(c) for c in PARTS]).distinct()
+    def _rows(self, manifest: DataFrame) -> DataFrame | None:
+        known = manifest.select("row_schema").filter(F.col("row_schema").isNotNull()).first()
+        if known is None:
+            return None
+        schema = StructType.fromJson(json.loads(known[0]))
+        for c in PARTS:
+            schema = schema.add(c, "string")
+        if not storage.children(self.spark, f"{self.path}/rows"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(f"{self.path}/rows")
+
+    def chunks(self) -> DataFrame | None:
+        """Keys and ``n`` of the chunks that can be read in full; None if nothing was cached."""
+        manifest = self._manifest()
+        rows = None if manifest is None else self._rows(manifest)
+        if rows is None:
+            return None
+        found = self._sums(rows).withColumnsRenamed({"n": "n_found", "checksum": "found"})
+        whole = (F.coalesce("n_found", F.lit(0)) == F.col("n")) & (F.coalesce("found", F.lit(0)) == F.col("checksum"))
+        return manifest.join(found, PARTS, "left").filter(whole).select(*PARTS, "n")
+
+    def read(self) -> DataFrame | None:
+        """The rows of all chunks that can be read in full; None if nothing was cached."""
+        whole = self.chunks()
+        return None if whole is None else self._rows(self._manifest()).join(whole.select(*PARTS), PARTS, "left_semi")
 
     def missing(self, planned: DataFrame) -> DataFrame:
         """Planned chunks that are not cached: an anti join with the cached keys."""
-        keys = self.keys()
-        return planned if keys is None else planned.join(keys, PARTS, "left_anti")
+        whole = self.chunks()
+        return planned if whole is None else planned.join(whole.select(*PARTS), PARTS, "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import mjd_part, safe_part
 from . import storage
@@ -39,7 +40,7 @@ def load_snapshot(spark: SparkSession, folder: str, members: dict[str, str], use
     found: dict[str, DataFrame] = {}
     for name, ddl in members.items():
         if name in noted:
-            found[name] = spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in (p.strip().split(" ", 1) for p in ddl.split(","))])
+            found[name] = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl)])
         elif storage.is_written(spark, f"{folder}/{name}"):
             found[name] = spark.read.parquet(f"{folder}/{name}")
         else:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import safe_part
@@ -56,7 +56,7 @@ class CumulativeStore:
     def upsert(self, new: DataFrame, tie: list[str] | None = None, batch: str | None = None) -> UpsertStats:
         """The newest row of each id of the stored and the new rows; on equal times new rows win, then the ``tie`` columns.
 
-        One shuffle on the id. Counts come from a tagged union and the files written.
+        One shuffle on the id. The rows of either side are counted as they are written.
         """
         versions = self.versions()
         name = self.spark.range(1).select(safe_part(F.lit(batch))).first()[0] if batch else None
@@ -66,11 +66,13 @@ class CumulativeStore:
         both = union_all(old, conform(new, LOCI).withColumn("_source", F.lit(1)))
         ties = ["_source", *(tie or []), "_hash"]
         core = [c for c in both.columns if c != "_source"]
+        counted = Observation()
+        both = both.observe(counted, F.count_if(F.col("_source") == 0).alias("old"), F.count_if(F.col("_source") == 1).alias("new"))
         kept = newest_per_locus(both.withColumn("_hash", F.xxhash64(*core)), ties, self.null_time).drop("_source", "_hash")
         number = versions[-1][0] + 1 if versions else 1
         target = f"{self.path}/v={number:06d}" + (f"__{name}" if name else "")
         kept.write.mode("overwrite").parquet(target)  # what may be there is unfinished
-        sides = {r["_source"]: r["n"] for r in both.groupBy("_source").agg(F.count("*").alias("n")).collect()}
+        sides = counted.get
         for _, _, folder in versions[: max(0, len(versions) + 1 - KEEP_VERSIONS)]:
             storage.remove(self.spark, folder)
-        return UpsertStats(sides.get(0, 0), sides.get(1, 0), self.spark.read.parquet(target).count(), target)
+        return UpsertStats(sides["old"], sides["new"], self.spark.read.parquet(target).count(), target)

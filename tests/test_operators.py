@@ -278,3 +278,46 @@ def test_plans(spark, tmp_path):
     assert stats.new_rows == 100 and both.loci.filter("range_label = 'past'").count() == 200
     assert report.filter("status = 'split'").count() > 0
     assert both.checks().filter("status = 'FAIL'").count() <= 2
+
+
+def test_unreadable_chunks_are_misses(spark, tmp_path):
+    from skyspark.operators.chunks import adaptive_pull
+    from skyspark.sources.chunk_cache import ChunkCache
+
+    rows = spark.createDataFrame([(f"L{i}", 100.0 + i / 10, i) for i in range(40)], f"{ID} string, {MJD} double, seq long")
+    cache = ChunkCache(spark, str(tmp_path / "cache"))
+    assert cache.read() is None and cache.chunks() is None
+    plan = {"initial_days": 1.0, "min_seconds": 3600.0, "max_results": 8, "split_threshold": 6}
+    pull = lambda: adaptive_pull(rows, "night", 100.0, 106.0, ["seq"], None, cache, **plan)
+    sources = lambda report: {(round(r.mjd_min, 6), r.status): r.source for r in report.collect()}
+    want = sorted(map(tuple, rows.collect()))
+    found, report = pull()
+    assert sorted(tuple(r) for r in found.select(ID, MJD, "seq").collect()) == want and set(sources(report).values()) == {"live"}
+    again, report = pull()
+    second = sources(report)
+    assert sorted(tuple(r) for r in again.select(ID, MJD, "seq").collect()) == want
+    assert {s for (_, status), s in second.items() if status != "split"} == {"cache"} and (105.0, "accepted") in second  # an empty chunk too
+    part = next((tmp_path / "cache" / "rows").rglob("*.parquet"))
+    part.write_bytes(part.read_bytes()[:20])
+    third, report = pull()
+    assert sorted(tuple(r) for r in third.select(ID, MJD, "seq").collect()) == want
+    assert sum(s == "live" for (_, status), s in sources(report).items() if status != "split") == 1
+    for part in (tmp_path / "cache" / "rows").rglob("*.parquet"):
+        part.write_bytes(b"no parquet")
+    assert cache.read().count() == 0 and cache.missing(cache._manifest()).count() > 0
+
+
+def test_snapshot_of_an_empty_member_with_commas_in_its_type(spark, tmp_path):
+    from skyspark.sources.snapshots import load_snapshot, save_snapshot
+
+    ddl = "a decimal(10,2), b array<struct<x: int, y: string>>"
+    save_snapshot(str(tmp_path / "s"), {"none": spark.createDataFrame([], ddl)})
+    assert load_snapshot(spark, str(tmp_path / "s"), {"none": ddl})["none"].schema == spark.createDataFrame([], ddl).schema
+
+
+def test_negative_mjd_keys(spark):
+    from skyspark.functions.text import mjd_part
+
+    values = [-0.5, -1.25, 0.0, 2.5, -61000.000000015]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(mjd_part(F.col("x"))).collect()]
+    assert got == [f"{v:.8f}".replace(".", "p") for v in values]
