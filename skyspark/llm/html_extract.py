@@ -13,8 +13,10 @@ parts, with lines of a bounded sample of the table's own texts as words.
 
 Defined cases: a null or empty page gives an empty text, as does one without
 text; unclosed and stray tags are read as a browser would, near enough; a tag
-or comment cut off at the end is dropped; repeated rows are extracted once
-each; further columns are ignored.
+or comment cut off at the end is dropped; a long page is read whole, in time that
+grows with its length; where keeping and dropping a subtree tie it is kept;
+repeated rows are extracted once each; an empty table gives an empty result;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,26 +84,92 @@ FAMILIES = {
 FAMILY_OF = {word: k for k, words in enumerate(FAMILIES.values()) for word in words.split()}
 BOILERPLATE_KINDS = [KIND_NAMES.index(k) for k in ("nav", "header", "footer", "aside", "form")]
 
-_TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_COMMENT_END = re.compile(r"--!?>")
+_TAG_OR_QUOTE = re.compile(r"[>\"']")
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _ATTRIBUTES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
-_MARK = re.compile(r"^ data-main=([01])(?=\s|$)")
+_MARK = re.compile(r"^ data-main=([01])(?=\s|$)")  # of composed pages only
 _WORD = re.compile(r"[a-z]+")
-_RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
+_RAW_END = {tag: re.compile(rf"</{tag}\b", re.I) for tag in RAW}
 _STOPS = re.compile(r"[.,;:!?]")
 
 N_COUNTS = 7  # text, link text, words, stops, controls, links, chunks
 
 
+class Tokens:
+    """The tags and comments of a source, in time that grows with its length whatever it holds."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last_end = source.rfind(">")
+        self.ends: dict[int, int] = {}  # '>' or quote -> the '>' that ends a tag which reads on from it, or -1
+        self.endless: set[str] = set()  # elements with no end tag ahead
+
+    def tag_end(self, at: int) -> int:
+        """The first '>' from ``at`` that is not in quotes; -1 if a quote stays open or there is none."""
+        source, seen, end = self.source, [], -1
+        found = _TAG_OR_QUOTE.search(source, at)
+        while found:
+            k = found.start()
+            if k in self.ends:
+                end = self.ends[k]
+                break
+            seen.append(k)
+            if source[k] == ">":
+                end = k
+                break
+            close = source.find(source[k], k + 1)
+            found = _TAG_OR_QUOTE.search(source, close + 1) if close >= 0 else None
+        for k in seen:
+            self.ends[k] = end
+        return end
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start and end of the next tag or comment, whether it closes, its name ('' for a comment) and attributes."""
+        source = self.source
+        at = source.find("<", at)
+        while at >= 0:
+            if source.startswith("<!--", at):
+                if source.startswith((">", "->"), at + 4):
+                    return at, source.index(">", at) + 1, False, "", ""
+                found = _COMMENT_END.search(source, at + 4)
+                return at, found.end() if found else len(source), False, "", ""
+            if at > self.last_end:  # no tag ends any more; a comment may still begin
+                at = source.find("<!--", at + 1)
+                continue
+            name = _NAME.match(source, at + 1)
+            if name:
+                end = self.tag_end(name.end())
+                end = end if end >= 0 else source.index(">", name.end())
+                return at, end + 1, source[at + 1] == "/", name[1].lower(), source[name.end() : end]
+            if source.startswith(("!", "?", "/"), at + 1):
+                return at, source.index(">", at) + 1, False, "", ""
+            at = source.find("<", at + 1)
+        return None
+
+    def raw_end(self, tag: str, at: int) -> int | None:
+        """Where the element's end tag ends; None if there is none."""
+        if tag in self.endless:
+            return None
+        found = _RAW_END[tag].search(self.source, at)
+        end = self.source.find(">", found.end()) if found else -1
+        if end < 0:
+            self.endless.add(tag)
+            return None
+        return end + 1
+
+
 class Page:
     """The block tree of one page: parallel lists by node in page order, and the pieces of text.
 
-    ``marks`` holds the label that ``compose_page`` put first into a tag, else ""; only training reads it.
+    ``marks`` holds the label that ``compose_page`` put first into a tag, else "";
+    it is read only of ``composed`` pages.
     """
 
     __slots__ = ("parent", "kind", "depth", "families", "counts", "pieces", "marks")
 
-    def __init__(self, source: str | None):
+    def __init__(self, source: str | None, composed: bool = False):
         self.parent: list[int] = [-1]
         self.kind: list[int] = [0]
         self.depth: list[int] = [0]
@@ -109,18 +177,28 @@ class Page:
         self.counts: list[list[int]] = [[0] * N_COUNTS]
         self.pieces: list[tuple[int, int, str]] = []  # node, block, text
         self.marks: list[str] = [""]
-        self._read(source or "")
+        self._read(source or "", composed)
 
-    def _read(self, source: str) -> None:
-        stack: list[tuple[str, int]] = [("", 0)]
+    def _read(self, source: str, composed: bool) -> None:
+        tokens, stack = Tokens(source), [("", 0)]
+        open_at: dict[str, list[int]] = {}  # tag -> its places in the stack
         block = links = at = 0
         size = len(source)
+
+        def inmost(tags: Iterable[str]) -> int:
+            return max((places[-1] for t in tags if (places := open_at.get(t))), default=0)
+
+        def close(k: int) -> None:
+            for tag, _ in stack[k:]:
+                open_at[tag].pop()
+            del stack[k:]
+
         while at < size:
-            found = _TOKEN.search(source, at)
-            end = found.start() if found else size
+            token = tokens.next(at)
+            end = token[0] if token else size
             if end > at:
                 text = source[at:end]
-                if not found:
+                if not token:
                     text = _CUT_OFF.sub("", text)
                 if text and not text.isspace():
                     text = html.unescape(text) if "&" in text else text
@@ -134,19 +212,17 @@ class Page:
                     self.pieces.append((node, block, text))
                 elif text:
                     self.pieces.append((stack[-1][1], block, " "))
-            if not found:
+            if not token:
                 break
-            at = found.end()
-            tag = found[2] or found[5]
+            _, at, closing, tag, attributes = token
             if not tag:
                 continue
-            tag, closing = tag.lower(), found[1] or found[4]
             if tag in RAW:
                 if tag in CONTROLS:
                     self.counts[stack[-1][1]][4] += not closing
-                if not closing and not (found[3] or found[6] or "").endswith("/"):
-                    finish = _RAW_END[tag].search(source, at)
-                    at = finish.end() if finish else (at if tag in ("head", "noscript") else size)
+                if not closing and not attributes.endswith("/"):
+                    finish = tokens.raw_end(tag, at)
+                    at = finish if finish is not None else (at if tag in ("head", "noscript") else size)
                 continue
             kind = KIND_OF.get(tag)
             if kind is None:
@@ -161,46 +237,36 @@ class Page:
             block += 1
             links = 0
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                if open_at.get(tag):
+                    close(open_at[tag][-1])
                 continue
             if tag in CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == "p":
-                        del stack[k:]
-                        break
-                    if stack[k][0] in ("td", "th", "table", "li"):
-                        break
+                k = inmost(("p",))
+                if k > inmost(("td", "th", "table", "li")):
+                    close(k)
             if tag in SELF_CLOSING:
-                same, limit = SAME.get(tag, (tag,)), SELF_CLOSING[tag]
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in same:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in limit:
-                        break
+                k = inmost(SAME.get(tag, (tag,)))
+                if k > inmost(SELF_CLOSING[tag]):
+                    close(k)
             if tag in VOID:
                 continue
             if tag in ("html", "body"):
                 continue
-            families, attributes = 0, found[3] or found[6]
+            families, mark = 0, None
             if attributes:
                 for value in _ATTRIBUTES.findall(attributes):
                     for word in _WORD.findall(value.lower()):
                         family = FAMILY_OF.get(word)
                         if family is not None:
                             families |= 1 << family
-                mark = _MARK.match(attributes)  # training pages carry their labels
-                self.marks.append(mark[1] if mark else "")
-            else:
-                self.marks.append("")
+                mark = _MARK.match(attributes) if composed else None
+            self.marks.append(mark[1] if mark else "")
             self.parent.append(stack[-1][1])
             self.kind.append(kind)
             self.depth.append(len(stack))
             self.families.append(families)
             self.counts.append([0] * N_COUNTS)
+            open_at.setdefault(tag, []).append(len(stack))
             stack.append((tag, len(self.parent) - 1))
 
     def text(self, kept: np.ndarray) -> str:
@@ -212,6 +278,12 @@ class Page:
         return "\n\n".join(x for x in lines if x)
 
 
+def _levels(depth: np.ndarray) -> list[np.ndarray]:
+    """Nodes of each depth from 1 on."""
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.searchsorted(depth[order], np.arange(1, int(depth.max()) + 1)))[1:]
+
+
 def tree_features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of the nodes of all pages together, their parents (own index for roots) and their depths."""
     sizes = [len(p.parent) for p in pages]
@@ -229,12 +301,10 @@ def tree_features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     flags = np.concatenate([(family[:, None] >> np.arange(len(FAMILIES))) & 1, (kind[:, None] == np.arange(len(KINDS)))], axis=1).astype(np.int8)
     above = flags.copy()
     index = np.arange(n)
-    for d in range(int(depth.max()), 0, -1):  # subtree sums, from the leaves up
-        at = index[depth == d]
-        for column in range(below.shape[1]):
-            below[:, column] += np.bincount(parent[at], below[at, column], n)
-    for d in range(1, int(depth.max()) + 1):  # flags of the ancestors, from the root down
-        at = index[depth == d]
+    levels = _levels(depth)
+    for at in reversed(levels):  # subtree sums, from the leaves up
+        np.add.at(below, parent[at], below[at])
+    for at in levels:  # flags of the ancestors, from the root down
         above[at] |= above[parent[at]]
     children = np.bincount(parent[~root], minlength=n)
     order = np.lexsort((index, parent))
@@ -273,15 +343,13 @@ def decode(logit: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.ndarr
     """Kept nodes: the likeliest labelling in which no node is kept below a dropped one."""
     logit = np.clip(logit, -6, 6)
     keep, drop = -np.logaddexp(0, -logit), -np.logaddexp(0, logit)
-    index = np.arange(len(logit))
-    for d in range(int(depth.max()), 0, -1):
-        at = index[depth == d]
-        keep += np.bincount(parent[at], np.maximum(keep[at], drop[at]), len(logit))
-        drop += np.bincount(parent[at], drop[at], len(logit))
+    levels = _levels(depth)
+    for at in reversed(levels):
+        np.add.at(keep, parent[at], np.maximum(keep[at], drop[at]))
+        np.add.at(drop, parent[at], drop[at])
     kept = keep >= drop
     kept[depth == 0] = True
-    for d in range(1, int(depth.max()) + 1):
-        at = index[depth == d]
+    for at in levels:
         kept[at] &= kept[parent[at]]
     return kept
 
@@ -403,7 +471,7 @@ def compose_page(rng: random.Random, lines: list[str]) -> str:
 
 def train(lines: list[str], pages: int = TRAINING_PAGES) -> PageModel:
     rng = random.Random(11)
-    composed = [Page(compose_page(rng, lines or ["text"])) for _ in range(pages)]
+    composed = [Page(compose_page(rng, lines or ["text"]), composed=True) for _ in range(pages)]
     features, _, _ = tree_features(composed)
     marks = np.concatenate([np.array(p.marks) for p in composed])
     known = marks != ""

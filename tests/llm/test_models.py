@@ -1,6 +1,7 @@
 """Operators 1, 2, 3, 5 and 6: accuracy on held-out rows, exact round trips, known pages and statements."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -97,7 +98,7 @@ def page_model():
 def test_composed_pages(page_model):
     rng = random.Random(99)
     lines = ["Some words of a sentence, with a stop.", "Another sentence that is quite a bit longer than the first one was, and ends here.", "Short."]
-    pages = [html_extract.Page(html_extract.compose_page(rng, lines)) for _ in range(200)]
+    pages = [html_extract.Page(html_extract.compose_page(rng, lines), composed=True) for _ in range(200)]
     features, parent, depth = html_extract.tree_features(pages)
     kept = html_extract.decode(page_model.trees.logit(features), parent, depth)
     marks = np.concatenate([np.array(p.marks) for p in pages])
@@ -131,6 +132,16 @@ def test_attributes_like_the_training_mark(page_model, spark):
     assert html_extract.fit(df) is not None
 
 
+@pytest.mark.parametrize(
+    "source",
+    ["<a " * 1_700_000, "<div>" * 100_000 + "deep", "<p>x</b>" * 100_000, "<ul><li><div>" * 40_000, "<a '>' " * 300_000, "</script " * 300_000, "<noscript>" * 300_000, "<!-- a --!> " * 200_000, "<div></p>" * 100_000, "<!--" * 500_000],
+)
+def test_long_and_odd_pages_take_seconds(page_model, source):
+    began = time.perf_counter()
+    page_model.texts([source, "<article><p>" + "Some words of a plain text. " * 9 + "</p></article>"])
+    assert time.perf_counter() - began < 20
+
+
 def test_trees_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 5)).astype(np.float32)
