@@ -213,9 +213,16 @@ def test_tokens_equal_the_library(real, awkward):
     mine = bpe.tokenizer(tokenizer_path())
     for text in [t or "" for _, t in awkward] + fuzz(6000, 1) + ["a" * 3000, "abcdefgh" * 400]:
         ids = real.encode(text, add_special_tokens=False).ids
-        n, joined, decoded = mine.encode(text)
-        assert (n, joined) == (len(ids), " ".join(map(str, ids)))
-        assert decoded == real.decode(ids, skip_special_tokens=False) == mine.decode(ids)
+        assert mine.encode(text) == (ids, " ".join(map(str, ids)))
+        assert mine.decode(ids) == real.decode(ids, skip_special_tokens=False)
+
+
+def test_every_character_is_split_as_in_the_library(real):
+    mine = bpe.tokenizer(tokenizer_path())
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x40000), *range(0xE0000, 0xE1000), *range(0x10FF00, 0x110000)]]
+    for k in range(0, len(points), 40):
+        for text in ("".join(points[k : k + 40]), "a ".join(points[k : k + 40])):
+            assert mine.encode(text)[0] == real.encode(text, add_special_tokens=False).ids
 
 
 def merged_in_turn(symbols, merges):
@@ -242,6 +249,8 @@ def test_automaton_equals_merging_for_random_merges(seed):
     ranks = {p: i for i, p in enumerate(merges)}
     for _ in range(300):
         word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 14)))
+        last, token = rng.randrange(len(tokens)), rng.randrange(len(tokens))
+        assert {last, token} & automaton.dead or automaton.follows(last, token) == automaton._has_arc(last, token)
         assert [tokens[i] for i in automaton.word(word)] == merged_in_turn(list(word), ranks)
 
 
