@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from .common import slices
+from .common import CACHES, slices
 
 #: Words kept in a worker's cache before the older half goes.
 CACHE_WORDS = 200_000
@@ -277,7 +277,7 @@ class WordBpe:
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = TokenAutomaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
-        classes = [_matched(x) for x in ("\\s", "\\p{L}", "\\p{N}")]
+        classes = [_matched(x) for x in ("\\s+", "\\p{L}+", "\\p{N}+")]
         self.split, self.latin_split, self.unknown = _split_pattern(split, classes, 0x110000), _split_pattern(split, classes, 0x100), _unknown()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -330,6 +330,11 @@ class WordBpe:
                 decimal.append(d)
         return ids, " ".join(decimal)
 
+    def batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Small batches of a task, after which the worker forgets the words but keeps the tables."""
+        yield from slices(batches, keep=_loaded)
+        self.young, self.old = {}, {}
+
     def decode(self, ids: list[int]) -> str:
         """Labels of the arcs, joined by blanks as a tokenizer file without a decoder asks; unknown ids give nothing."""
         try:
@@ -339,6 +344,7 @@ class WordBpe:
 
 
 _loaded: dict[str, WordBpe] = {}
+CACHES.append(_loaded)  # tasks of other operators drop the tokenizer
 
 
 def tokenizer(path: str) -> WordBpe:
@@ -357,7 +363,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, sha = tokenizer(path), hashlib.sha256
-        for batch in slices(batches):
+        for batch in bpe.batches(batches):
             counts, ids, decoded = [], [], []
             for text in batch.column(1):
                 found, decimal = bpe.encode(text.as_py())
@@ -374,7 +380,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        for batch in slices(batches):
+        for batch in bpe.batches(batches):
             ids, decoded = [], []
             for text in batch.column(1):
                 ids.append(bpe.encode(text.as_py())[0])

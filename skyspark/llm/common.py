@@ -37,27 +37,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, so that what is made of one stays small; at the end the worker gives its memory back."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, keep: dict | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that what is made of one stays small; at the end the worker gives its memory back, but for the cache ``keep``."""
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
-    release_memory()
+    release_memory(keep)
 
 
 #: Caches of this worker process that are emptied at the end of a task.
 CACHES: list[dict] = []
 
 
-def release_memory() -> None:
-    """Empty the caches and give freed memory back to the system.
+def release_memory(keep: dict | None = None) -> None:
+    """Empty the caches (but ``keep``, which the next task of the operator needs) and give freed memory back to the system.
 
     Workers live on after a task, and what they keep counts against the executor
     while other operators run in the JVM. Small objects that a cache keeps would
     hold whole arenas of freed ones.
     """
     for cache in CACHES:
-        cache.clear()
+        if cache is not keep:
+            cache.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
