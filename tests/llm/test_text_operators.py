@@ -306,3 +306,20 @@ def test_empty_tables(spark, no_docs, awkward_docs):
     assert line_dedup.LineIndex.build(no_docs).dedup(no_docs).count() == 0
     assert substring_dedup.drop_repeats(no_docs).count() == 0
     assert jaccard_join.near_duplicates(no_docs).count() == 0
+
+
+def test_salted_join_equals_a_plain_one(spark, monkeypatch):
+    from skyspark.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    left = spark.createDataFrame([(k, i) for i in range(60) for k in ("hot", f"k{i % 7}", None)], "k string, i long")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), (None, 4)], "k string, v long")
+    rows = lambda df: sorted(map(str, df.select("k", "i", "v").collect()))
+    for how in ("inner", "left"):
+        assert rows(common.salted_join(left, right, ["k"], ["i"], how)) == rows(left.join(right, "k", how))
+
+
+def test_line_dedup_passes_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "one line that three documents hold", i, i, i) for i in range(3)], "doc_id long, text string, line_doc long, line_drops long, _line_doc long")
+    got = line_dedup.LineIndex.build(docs).dedup(docs).orderBy("doc_id").collect()
+    assert [(r.text, r.line_doc, r.line_drops, r["_line_doc"], r.n_dropped) for r in got] == [("", 0, 0, 0, 1), ("", 1, 1, 1, 1), ("one line that three documents hold", 2, 2, 2, 0)]
