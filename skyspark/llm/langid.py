@@ -35,6 +35,8 @@ LANES = 4096
 #: Bounds of the training sample: documents of each language, windows in all (but one of each language at least).
 SAMPLE_DOCS = 400
 SAMPLE_WINDOWS = 12_000
+#: Groups of tasks in which documents are picked before they are picked from all.
+GROUPS = 512
 EPOCHS = 5
 BATCH = 256
 MODULUS, HELD_OUT = 3, 1
@@ -237,6 +239,15 @@ def _picked(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def sample_documents(docs: DataFrame, most: int) -> DataFrame:
+    """(doc_id, lang) of the ``most`` documents of each language with the lowest hashes of their ids."""
+    first = docs.withColumn("_group", F.spark_partition_id() % GROUPS)
+    for keys in (["lang", "_group"], ["lang"]):  # the lowest of all are among the lowest of the groups
+        by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        first = first.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= most)
+    return first.select("doc_id", "lang")
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> LanguageModel:
     """Train on texts and languages of documents whose crc32(doc_id) mod 3 is not 1.
 
@@ -244,12 +255,13 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = S
     are picked by a hash of the id, and of these ``sample_windows`` windows in
     all are used. Both picks are ranked windows, which Spark limits within each
     task before it shuffles, so a hot language sends no more than its limit.
+    Documents are first picked within GROUPS groups of tasks, so that no task
+    meets the picks of all; the windows are those of the picked documents alone.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & (remainder(F.col("doc_id"), MODULUS) != HELD_OUT)
     )
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = materialize(usable.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= sample_docs).select("doc_id", "lang"), "languages")
+    picked = materialize(sample_documents(usable, sample_docs), "languages")
     languages = tuple(sorted(r.lang for r in picked.select("lang").distinct().collect()))
     if not languages:
         return LanguageModel.start(languages)

@@ -65,6 +65,16 @@ def test_language_edge_cases(spark, awkward, awkward_docs, no_docs):
     assert {r.lang_pred for r in langid.fit(no_docs).predict(awkward_docs).collect()} == {"und"}
 
 
+def test_sampled_documents_are_those_with_the_lowest_hashes(spark):
+    rows = [(i, "x", "en" if i % 3 else "fr") for i in range(3000)] + [(7, "x", "en")]
+    docs = docs_frame(spark, rows).repartition(40)
+    hashes = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(cast(doc_id as bigint)) h").collect()}
+    expected = [x for lang in ("en", "fr") for x in sorted((hashes[i], i, lang) for i, _, at in rows if at == lang)[:50]]
+    usable = docs.selectExpr("cast(doc_id as bigint) doc_id", "lang")
+    got = [(hashes[r.doc_id], r.doc_id, r.lang) for r in langid.sample_documents(usable, 50).collect()]
+    assert sorted(got) == sorted(expected)
+
+
 def test_windows_cover_all_bytes():
     texts = [b"", b"a", b"b" * 64, b"c" * 65]
     rows, counts, owner = langid.windows(texts)
