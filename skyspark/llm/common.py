@@ -25,7 +25,7 @@ HOT_ROWS = 1_000
 HOT_KEYS = 100_000
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage at files that outlive any executor, and lets several
@@ -33,7 +33,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -76,17 +76,18 @@ def small_side(df: DataFrame, rows: int | None = None, limit: int | None = None)
     return F.broadcast(df) if n <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
     """Shuffle join in which a hot key of ``left`` is dealt to several tasks by the ``spread`` columns.
 
     ``left`` must be written out already, as it is counted first; ``right`` has few
     rows for each key, and those of a hot key are copied to each of its tasks.
     The counts are added up map-side. A key is hot beyond max(HOT_ROWS, rows /
     HOT_KEYS) rows, so the table of hot keys, which is broadcast, has no more
-    than HOT_KEYS rows at any size. ``how``: inner or left.
+    than HOT_KEYS rows at any size. ``how``: inner or left. ``counts``: the keys with
+    their rows ``_n`` in ``left``, where the caller has counted them.
     """
     most = max(HOT_ROWS, left.count() // HOT_KEYS)
-    hot = left.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > most)
+    hot = (left.groupBy(*on).agg(F.count("*").alias("_n")) if counts is None else counts).filter(F.col("_n") > most)
     hot = F.broadcast(materialize(hot.select(*on, F.ceil(F.col("_n") / F.lit(most)).cast("long").alias("_groups")), "hot-keys"))
     one = F.lit(1).cast("long")
     without = reduce(Column.__or__, (F.col(c).isNull() for c in on))  # joins nothing, so it may go anywhere

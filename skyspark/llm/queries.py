@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .bpe import token_digests
 from .common import read_table, remainder
 from .decontam import contamination
+from .fill_in_middle import fill_in_middle, restore
 from .host_rules import host_quality
 from .html_extract import fit as fit_pages
 from .jaccard_join import near_duplicates
@@ -17,7 +18,9 @@ from .langid import fit as fit_languages
 from .license_scan import fit as fit_licenses
 from .line_dedup import LineIndex
 from .quality_zstd import fit as fit_quality
+from .source_divergence import divergence
 from .substring_dedup import drop_repeats
+from .warc import write_archive
 
 #: Where the public tokenizer file lies when no other path is given.
 TOKENIZER = "word_bpe_49k.json"
@@ -92,6 +95,26 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of each source to every other of its language, and the terms it has most above the language."""
+    return divergence(read_table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a record of an archive, and what the archive gives back."""
+    found = write_archive(read_table(spark, sf_dir, "pages")).read()
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document; digests of the output and of the text restored from it."""
+    found = fill_in_middle(read_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(restore(F.col("output"), F.col("form"))).alias("restored_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_html_extraction": op2_html_extraction,
@@ -103,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_fm_substring_dedup": op9_fm_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_warc": op12_warc,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -239,5 +265,71 @@ WITH words AS (
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(text, '')) AS kept_sha256
 FROM words w LEFT JOIN cuts c USING (doc_id) LEFT JOIN joined j USING (doc_id)
+""",
+    "op11_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+  SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL
+), shares AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+    1 + CAST((1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.n, 0) + 5 * v) AS BIGINT) AS p,
+    1 + CAST((1000000000::HUGEINT * (k.n + 5)) // (s.n + 5 * v) AS BIGINT) AS q
+  FROM groups JOIN kept k USING (lang) JOIN sizes s USING (lang) LEFT JOIN counts c USING (lang, source, term) LEFT JOIN totals t USING (lang, source)
+), far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+""",
+    "op12_warc": r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), named AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest
+  FROM payloads
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM named GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM named JOIN firsts USING (payload_digest)
+""",
+    "op13_fill_in_middle": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS hex FROM documents
+), draws AS (
+  SELECT doc_id, text, n, CAST('0x' || hex[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || hex[9:16] AS BIGINT) % (n + 1) AS b,
+    CAST('0x' || hex[17:24] AS BIGINT) % 100 AS c, CAST('0x' || hex[25:32] AS BIGINT) % 100 AS d
+  FROM texts
+), formed AS (
+  SELECT doc_id, text, n, least(a, b) AS lo, greatest(a, b) AS hi,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 90 THEN 'plain' WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws
+), cut AS (
+  SELECT *, substring(text, 1, lo) AS prefix, substring(text, lo + 1, hi - lo) AS middle, substring(text, hi + 1) AS suffix FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
 """,
 }
