@@ -41,6 +41,8 @@ from ..sources.storage import new_folder
 from .common import materialize, release_memory, salted_join, slices
 
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 256 << 20
+#: Frames that one task reads.
+TASK_FRAMES = 64
 LEVEL = 3
 #: Payloads of fewer bytes are never revisited.
 MIN_BYTES = 0
@@ -272,6 +274,11 @@ class Archive:
 
         return self.index().select("bundle").distinct().mapInArrow(scan, "bundle string, frame int, frame_offset long, frame_bytes long")
 
+    def _dealt(self, frames: DataFrame) -> DataFrame:
+        """Frames in tasks of some TASK_FRAMES. Their number is stated, as rows that only name frames look like nothing to the engine."""
+        n = self.index().select("bundle", "frame").distinct().count()
+        return frames.repartition(max(1, -(-n // TASK_FRAMES)), "bundle", "frame")
+
     def read(self) -> DataFrame:
         """Every record of every bundle (RECORD): frames are dealt to tasks and read from their start to their end."""
         bundles = f"{self.folder}/bundles"
@@ -289,7 +296,7 @@ class Archive:
                     yield _table([r for r in found if r is not None], _RECORD)
             release_memory()
 
-        return self.frames().repartition("bundle", "frame").mapInArrow(scan, RECORD)
+        return self._dealt(self.frames()).mapInArrow(scan, RECORD)
 
     def lookup(self, ids: DataFrame) -> DataFrame:
         """The records (RECORD) whose ``record_id`` is listed; names that no record has are left out. A frame is opened once for each task that needs it."""
@@ -312,7 +319,7 @@ class Archive:
                     found.append(_fields(headers, block))
                 yield _table(found, _RECORD)
 
-        return places.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset").mapInArrow(fetch, RECORD)
+        return self._dealt(places).sortWithinPartitions("bundle", "frame", "offset").mapInArrow(fetch, RECORD)
 
     def payloads(self, ids: DataFrame) -> DataFrame:
         """record_id and payload of the records listed; a revisit has the payload of the response that it refers to."""
