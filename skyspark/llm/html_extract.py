@@ -12,8 +12,10 @@ The trees are trained on pages composed by ``compose_page``: layouts of known
 parts, with lines of a bounded sample of the table's own texts as words.
 
 Defined cases: a null or empty page gives an empty text, as does one without
-text; unclosed and stray tags are read as a browser would, near enough; a tag
-or comment cut off at the end is dropped; a long page is read whole, in time that
+text; unclosed and stray tags are read as a browser would, near enough; a script or
+style lasts to its end tag, a control, drawing or player that is left open to the next
+block; ``noscript`` and ``math`` are text like any other; a tag or comment cut off at the
+end is dropped; a long page is read whole, in time that
 grows with its length; where keeping and dropping a subtree tie it is kept;
 repeated rows are extracted once each; an empty table gives an empty result;
 further columns are ignored.
@@ -60,8 +62,9 @@ KINDS = {
 }
 KIND_OF = {tag: k for k, tags in enumerate(KINDS.values()) for tag in tags.split()}
 KIND_NAMES = list(KINDS)
-#: Elements whose content is never text of the page.
-RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "select", "button", "object", "canvas", "math", "video", "audio", "head"}
+#: Elements whose content is never text of the page: up to their end tag, whatever stands between; and those that hold markup.
+RAW = {"script", "style", "title", "textarea", "template", "iframe", "head"}
+SILENT = {"svg", "select", "button", "object", "canvas", "video", "audio"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 CONTROLS = {"input", "button", "select", "textarea", "label"}
 #: Elements that an opening tag closes first, and where the search for them ends.
@@ -92,6 +95,7 @@ _ATTRIBUTES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[
 _MARK = re.compile(r"^ data-main=([01])(?=\s|$)")  # of composed pages only
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}\b", re.I) for tag in RAW}
+_SILENT_TAG = {tag: re.compile(rf"<(/?){tag}\b", re.I) for tag in SILENT}
 _STOPS = re.compile(r"[.,;:!?]")
 
 N_COUNTS = 7  # text, link text, words, stops, controls, links, chunks
@@ -160,6 +164,18 @@ class Tokens:
         return end + 1
 
 
+    def silent_end(self, tag: str, at: int) -> int | None:
+        """Where the end tag of an element that holds markup ends; None if it is left open, as another of its kind begins before, or none ends."""
+        if tag in self.endless:
+            return None
+        found = _SILENT_TAG[tag].search(self.source, at)
+        if not found:
+            self.endless.add(tag)
+            return None
+        end = self.source.find(">", found.end()) if found[1] else -1
+        return end + 1 if end >= 0 else None
+
+
 class Page:
     """The block tree of one page: parallel lists by node in page order, and the pieces of text.
 
@@ -183,7 +199,7 @@ class Page:
         tokens, stack = Tokens(source), [("", 0)]
         open_at: dict[str, list[int]] = {}  # tag -> its places in the stack
         block = links = at = 0
-        size = len(source)
+        size, muted = len(source), False
 
         def inmost(tags: Iterable[str]) -> int:
             return max((places[-1] for t in tags if (places := open_at.get(t))), default=0)
@@ -200,7 +216,9 @@ class Page:
                 text = source[at:end]
                 if not token:
                     text = _CUT_OFF.sub("", text)
-                if text and not text.isspace():
+                if muted:
+                    pass
+                elif text and not text.isspace():
                     text = html.unescape(text) if "&" in text else text
                     node, counts = stack[-1][1], self.counts[stack[-1][1]]
                     length = len(text)
@@ -217,12 +235,17 @@ class Page:
             _, at, closing, tag, attributes = token
             if not tag:
                 continue
-            if tag in RAW:
+            if tag in RAW or tag in SILENT:
                 if tag in CONTROLS:
                     self.counts[stack[-1][1]][4] += not closing
-                if not closing and not attributes.endswith("/"):
+                if closing:
+                    muted = muted and tag in RAW
+                elif tag in RAW:  # a slash before '>' means nothing here
                     finish = tokens.raw_end(tag, at)
-                    at = finish if finish is not None else (at if tag in ("head", "noscript") else size)
+                    at = finish if finish is not None else (at if tag == "head" else size)
+                elif not (tag == "svg" and attributes.endswith("/")):
+                    finish = tokens.silent_end(tag, at)
+                    at, muted = (at, True) if finish is None else (finish, muted)
                 continue
             kind = KIND_OF.get(tag)
             if kind is None:
@@ -235,7 +258,7 @@ class Page:
                     self.counts[stack[-1][1]][4] += not closing
                 continue
             block += 1
-            links = 0
+            links, muted = 0, False
             if closing:
                 if open_at.get(tag):
                     close(open_at[tag][-1])
