@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..schema import ID, MJD
 
 
-def newest_per_locus(df: DataFrame, tie: list[str], null_time: str = "newest", id_col: str = ID, mjd_col: str = MJD) -> DataFrame:
+def newest_per_locus(df: DataFrame, tie: list[str], null_time: str = "newest", id_col: str = ID, mjd_col: str = MJD, within: list[str] | None = None) -> DataFrame:
     """One row for each id, the one with the latest time; ties by the ``tie`` columns, largest first.
 
     A missing time counts as newest (or, on request, as oldest); missing ids
@@ -22,7 +22,7 @@ def newest_per_locus(df: DataFrame, tie: list[str], null_time: str = "newest", i
     order = [F.col(c).desc_nulls_last() for c in tie]
     if mjd_col in df.columns:
         order.insert(0, F.col(mjd_col).desc_nulls_first() if null_time == "newest" else F.col(mjd_col).desc_nulls_last())
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*(within or []), id_col).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 

@@ -54,10 +54,22 @@ def fallback_histogram(loci: DataFrame, lo: float = 15.0, hi: float = 25.0, bins
 
 
 def magnitude_series(loci: DataFrame, alerts: DataFrame, lo: float = 15.0, hi: float = 25.0, bins: int = 40) -> DataFrame:
-    """G11, or G12 if no range has an alert magnitude."""
-    if alerts.filter(F.col(ALERT_MAG).isNotNull()).isEmpty():
-        return fallback_histogram(loci, lo, hi, bins).withColumn("band", F.lit(None).cast("string"))
-    return magnitude_histogram(alerts, lo, hi, bins)
+    """G11, or G12 if no range has an alert or the alerts have no magnitude column.
+
+    As in the survey's own plots, alerts whose magnitudes are all missing still count as
+    alerts: their histogram is empty, and the loci's don't stand in for it. The choice is part of the
+    plan; nothing is run here, and the alerts are gone through once.
+    """
+    low, high = F.lit(float(lo)), F.lit(float(hi))
+    instead = fallback_histogram(loci, lo, hi, bins).withColumn("band", F.lit(None).cast("string"))
+    if ALERT_MAG not in alerts.columns:
+        return instead
+    bin_ = F.when(F.col(ALERT_MAG).between(lo, hi), bin_index(F.col(ALERT_MAG), low, high, bins))
+    counted = alerts.groupBy("range_label", ALERT_BAND, bin_.alias("bin")).agg(F.count("*").alias("n"))
+    inside = counted.filter(F.col("bin").isNotNull()).join(F.broadcast(bands(alerts.sparkSession)), ALERT_BAND)
+    found = _all_bins(inside.select("range_label", "band", "bin", "n"), ["range_label", "band"], low, high, bins)
+    none = counted.agg(F.count("*").alias("_groups")).filter("_groups = 0")  # one row or none
+    return found.unionByName(instead.join(F.broadcast(none)).drop("_groups").select(found.columns))
 
 
 def _all_bins(counted: DataFrame, series: list[str], low, high, bins: int) -> DataFrame:

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from .functions.mjd import mjd_to_date, seconds_to_days, timestamp_to_mjd
 from .functions.text import chunk_key, mjd_part, safe_part
 from .operators import alerts as al
-from .operators import chunks, density, quality, ranges, sample, summary
-from .operators.dedupe import newest_per_locus
+from .operators import chunks, density, quality, ranges, sample, sketches, summary
+from .operators.dedupe import newest_per_locus, union_all
 from .schema import ALERT_BAND, ALERT_MAG, ID, LOCI, MAG, MJD, OBS, empty
 from .sources import storage, tables
+from .sources.bucketed import new_table, save_bucketed
 from .sources.chunk_cache import ChunkCache
+from .sources.counts import CountTable
+from .sources.ingest import ingest
 from .sources.raw import flatten_loci, malformed_count, parse_properties
 from .sources.snapshots import load_snapshot, save_snapshot, snapshot_key
 from .sources.store import CumulativeStore
+from .streaming.newest import start_newest_upsert
 from .streaming.upsert import start_upsert
 
 LAST, HISTORY = ("last", 52000.0, 52122.9), ("history", 49718.0, 52000.0)
@@ -160,7 +164,7 @@ def chunk_status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def adaptive_pull(spark: SparkSession, d: str) -> DataFrame:
     """S4, C5."""
-    rows, _ = chunks.adaptive_pull(tables.raw_records(spark, d), "events", 60320.0, 60330.0, ["ingest_seq"], "click", **PLAN)
+    rows, _ = chunks.adaptive_pull(tables.raw_records(spark, d), "events", FIRST_DAY, LAST_DAY, ["ingest_seq"], "click", **PLAN)
     return rows.select(ID, MJD, MAG, "ingest_seq")
 
 
@@ -173,7 +177,7 @@ def _pulled_twice(spark: SparkSession, d: str, lo: float, hi: float, tag: str |
 
 def cached_pull(spark: SparkSession, d: str) -> DataFrame:
     """A pull whose accepted chunks an earlier one has cached."""
-    return _pulled_twice(spark, d, 60320.0, 60330.0, "click")[0].select(ID, MJD, MAG, "ingest_seq")
+    return _pulled_twice(spark, d, FIRST_DAY, LAST_DAY, "click")[0].select(ID, MJD, MAG, "ingest_seq")
 
 
 def cached_pull_report(spark: SparkSession, d: str) -> DataFrame:
@@ -303,6 +307,72 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     return store.read().select(ID, MJD, MAG, "ingest_seq")
 
 
+def ingest_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Checks of the records of a month made as they are written, a part of them broken."""
+    records = tables.raw_records(spark, d).withColumns({"ra": (F.col("ingest_seq") % 365).cast("double"), "dec": F.lit(0.0)})
+    broken = F.when(F.col("ingest_seq") % 50 == 0, F.concat(F.lit("{"), "properties")).otherwise(F.col("properties"))
+    done = ingest(records.withColumn("properties", broken), "k bigint", storage.new_folder(spark, "ingest"), ("month", 60312.0, 60330.0), era_start=60311.0, info_tag="click")
+    kept = done.loci().agg(F.count("*")).first()[0], done.quarantine().agg(F.count("*")).first()[0]
+    return done.checks().withColumns({"n_loci": F.lit(kept[0]).cast("long"), "n_quarantined": F.lit(kept[1]).cast("long"), "observed": F.round("observed", 9)})
+
+
+def stream_newest(spark: SparkSession, d: str) -> DataFrame:
+    """Records arrive in files, the latest days first; what is late is dropped by state before the store."""
+    folder = storage.new_folder(spark, "arrivals")
+    records = tables.raw_records(spark, d).drop("properties")
+    for day in (60333, 60326, 60319, 60312, 60305):
+        ranges.window_scan(records, float(day), float(day + 7), include_upper=False).coalesce(1).write.mode("append").parquet(folder)
+    store = CumulativeStore(spark, storage.new_folder(spark, "store"))
+    arriving = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    start_newest_upsert(arriving, store, storage.new_folder(spark, "stream"), "events", ["ingest_seq"]).awaitTermination()
+    return store.read().select(ID, MJD, MAG, "ingest_seq")
+
+
+def sketched_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """G6, V6 by sketches: rows and distinct ids of ranges of nights, and whether the estimate keeps to its bound."""
+    found, exact = [], []
+    for name, rows in (("loci", tables.dirty_loci(spark, d)), ("events", tables.raw_records(spark, d))):
+        spans = [("all", 0, 100_000), ("early", 0, 60_320), ("first", 49_718, 50_100)]
+        held = ranges.ranges_frame(spark, spans).select(F.col("label").alias("range_label"), F.col("mjd_min").cast("long").alias("first_night"), F.col("mjd_max").cast("long").alias("last_night"))
+        found.append(sketches.distinct_in(sketches.nightly_sketches(rows), held).withColumn("rows_of", F.lit(name)))
+        night = F.floor(MJD).cast("long")
+        inside = rows.select(ID, night.alias("night")).join(F.broadcast(held), F.col("night").between(F.col("first_night"), F.col("last_night")))
+        exact.append(inside.groupBy("range_label").agg(F.count_distinct(ID).alias("exact")).withColumn("rows_of", F.lit(name)))
+    both = union_all(*found).join(union_all(*exact), ["rows_of", "range_label"])
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * sketches.BOUND + 1
+    return both.select("rows_of", "range_label", "n", F.col("exact").alias("n_distinct"), close.alias("within_bound"))
+
+
+def sketched_overlap(spark: SparkSession, d: str) -> DataFrame:
+    """J2, U4 by sketches: ids shared by two sets of nights, within the bound of their union."""
+    records = tables.raw_records(spark, d)
+    guess = sketches.overlap_of(sketches.nightly_sketches(records), (60310, 60310), (60311, 60339))
+    early, late = ranges.window_scan(records, 60310.0, 60311.0, include_upper=False), ranges.window_scan(records, 60311.0, 60340.0)
+    exact = summary.range_overlap(early, late)
+    bound = lambda c: F.col(c) * sketches.BOUND + 1
+    near = lambda c, by: F.abs(F.col(f"g.{c}") - F.col(f"e.{c}")) <= by
+    union = (F.col("e.n1") + F.col("e.n2") - F.col("e.n_shared")) * sketches.BOUND + bound("e.n1") + bound("e.n2")
+    return guess.alias("g").join(exact.alias("e")).select(F.col("e.n1").alias("n1"), F.col("e.n2").alias("n2"), F.col("e.n_shared").alias("n_shared"), (near("n1", bound("e.n1")) & near("n2", bound("e.n2")) & near("n_shared", union)).alias("within_bound"))
+
+
+def mag_hist_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """G11 over all alerts, loci and alerts kept in buckets of one kind."""
+    loci = save_bucketed(tables.loci(spark, d), new_table(spark, "loci"))
+    alerts = save_bucketed(tables.alerts(spark, d), new_table(spark, "alerts"))
+    return density.magnitude_histogram(al.alerts_for(ranges.label_ranges(loci, RANGES), alerts))
+
+
+def counted_plan(spark: SparkSession, d: str) -> DataFrame:
+    """The adaptive plan from counts that were added to by batches, one of which came twice."""
+    kept = CountTable(spark, storage.new_folder(spark, "counts"))
+    records = tables.raw_records(spark, d)
+    for batch, part in (("a", 0), ("b", 1), ("a", 0)):
+        kept.add(records.filter(F.col("ingest_seq") % 2 == part), batch)
+    report = chunks.counted_report(kept.read(int(FIRST_DAY), int(LAST_DAY) - 1), "events", int(FIRST_DAY), int(LAST_DAY), **{k: v for k, v in PLAN.items() if k != "initial_days"})
+    edges = {c: F.round(c, 9) for c in ("mjd_min", "mjd_max")} | {"width_seconds": F.round("width_seconds", 6)}
+    return report.withColumns(edges)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -310,7 +380,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         two_range_label, alerts_for_sample, band_counts, dedupe_newest, dedupe_null_time, cumulative_upsert, cumulative_range_read, store_stats,
         fixed_chunks, fixed_chunk_counts, adaptive_chunk_report, chunk_status_counts, adaptive_pull, cached_pull, cached_pull_report, typed_empty, chunk_keys, mjd_to_dates, sky_wrap,
         sky_density_2d, mag_hist_by_band, mag_hist_all, mag_hist_fallback, range_summary, range_config, range_overlap, dq_suite, dq_verdict,
-        snapshot_roundtrip, chunk_cache_roundtrip, stream_upsert,
+        snapshot_roundtrip, chunk_cache_roundtrip, stream_upsert, stream_newest, ingest_checks, sketched_distinct, sketched_overlap, mag_hist_bucketed, counted_plan,
     )
 }
 
@@ -457,8 +527,8 @@ ORACLE_SQL: dict[str, str] = {
     "fixed_chunk_counts": _with(_RAW, "spine AS (SELECT unnest(range(4320)) AS chunk)", f"counts AS (SELECT least(CAST(floor(({MJD} - {_D(FIRST_DAY)}) / {_D(repr(600 / 86400.0))}) AS BIGINT), 4319) AS chunk, count(*) AS n FROM raw WHERE {MJD} BETWEEN {FIRST_DAY} AND {LAST_DAY} GROUP BY 1)") + f"SELECT chunk, round({_D(FIRST_DAY)} + chunk * {_D(repr(600 / 86400.0))}, 9) AS mjd_min, chunk = 4319 AS include_upper, coalesce(n, 0) AS n FROM spine LEFT JOIN counts USING (chunk)",
     "adaptive_chunk_report": _with(_RAW, _PLAN) + "SELECT * FROM report",
     "chunk_status_counts": _with(_RAW, _PLAN) + "SELECT status, count(*) AS n FROM report GROUP BY status",
-    "adaptive_pull": _with(_RAW.replace("FROM events", "FROM events WHERE event_type = 'click'"), f"inside AS (SELECT * FROM raw WHERE {MJD} BETWEEN 60320 AND 60330)") + _NEWEST.replace("FROM raw", "FROM inside"),
-    "cached_pull": _with(_RAW.replace("FROM events", "FROM events WHERE event_type = 'click'"), f"inside AS (SELECT * FROM raw WHERE {MJD} BETWEEN 60320 AND 60330)") + _NEWEST.replace("FROM raw", "FROM inside"),
+    "adaptive_pull": _with(_RAW.replace("FROM events", "FROM events WHERE event_type = 'click'"), f"inside AS (SELECT * FROM raw WHERE {MJD} BETWEEN {FIRST_DAY} AND {LAST_DAY})") + _NEWEST.replace("FROM raw", "FROM inside"),
+    "cached_pull": _with(_RAW.replace("FROM events", "FROM events WHERE event_type = 'click'"), f"inside AS (SELECT * FROM raw WHERE {MJD} BETWEEN {FIRST_DAY} AND {LAST_DAY})") + _NEWEST.replace("FROM raw", "FROM inside"),
     "cached_pull_report": _with(_RAW, _PLAN) + "SELECT * REPLACE (CASE WHEN status = 'split' THEN 'live' ELSE 'cache' END AS source) FROM report",
     "typed_empty": _with(_LOCI) + f"SELECT {ID}, {MJD}, round(round(({_D(LAST[2])} - {MJD}) * 86400) / 86400, 9) AS age_days FROM loci WHERE {MJD} BETWEEN {LAST[1]} AND {LAST[2]}",
     "chunk_keys": _with(_RAW, "named AS (SELECT *, ' Night of ' || tag || '! ' AS label, CASE ingest_seq % 3 WHEN 0 THEN tag WHEN 1 THEN '!!' END AS t FROM raw)") + f"SELECT ingest_seq, {_SAFE('label')} AS label_key, {_PART(MJD)} AS start_key, CASE WHEN 60320.5 - {MJD} < 0 THEN '-' ELSE '' END || {_PART('abs(60320.5 - ' + MJD + ')')} AS offset_key, {_SAFE('label')} || '__' || {_PART(MJD)} || '__' || {_PART("(" + MJD + " + 1)")} || '__' || {_SAFE('t')} AS chunk_key FROM named",
@@ -476,4 +546,23 @@ ORACLE_SQL: dict[str, str] = {
     "snapshot_roundtrip": _with(_LOCI, _ALERTS, _RANGES, _LABELLED, _SAMPLED, _SAMPLED_ALERTS) + f"SELECT range_label, {ID}, {ALERT_BAND}, {ALERT_MAG} FROM found",
     "chunk_cache_roundtrip": _with(_RAW) + f"SELECT {ID}, ingest_seq, CAST(floor({MJD} - 60310) AS BIGINT) AS chunk FROM raw WHERE {MJD} >= 60310 AND {MJD} < 60338 UNION ALL SELECT '', -1, unnest([28, 29])",
     "stream_upsert": _with(_RAW) + _NEWEST,
+    "ingest_checks": _with(_RAW, f"""m AS (
+  SELECT count(*) AS n, count(*) FILTER ({MJD} < 60312 - 0.02) AS below, count(*) FILTER ({MJD} > 60330 + 0.02) AS above, count(*) FILTER (ingest_seq % 365 >= 360) AS bad_ra,
+    count(*) FILTER ({MJD} < 60311) AS early, count(*) FILTER (tag = 'click') AS tagged FROM raw WHERE ingest_seq % 50 <> 0
+), r AS (SELECT count(*) AS rejected FROM raw WHERE ingest_seq % 50 = 0)""") + """SELECT CAST(check_no AS INTEGER) AS check_no, range_label, name, status, CAST(round(observed, 9) AS DOUBLE) AS observed, detail, n AS n_loci, rejected AS n_quarantined FROM (
+  SELECT m.n, rejected, unnest([
+    {'check_no': 0, 'range_label': 'month', 'name': 'well_formed', 'status': CASE WHEN rejected = 0 THEN 'PASS' ELSE 'WARN' END, 'observed': CAST(rejected AS DOUBLE), 'detail': rejected || ' rejected'},
+    {'check_no': 1, 'range_label': 'month', 'name': 'data_present', 'status': CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END, 'observed': CAST(n AS DOUBLE), 'detail': n || ' loci'},
+    {'check_no': 2, 'range_label': 'month', 'name': 'mjd_in_window', 'status': CASE WHEN below + above = 0 THEN 'PASS' ELSE 'FAIL' END, 'observed': CAST(below + above AS DOUBLE), 'detail': below || ' below, ' || above || ' above'},
+    {'check_no': 3, 'range_label': 'month', 'name': 'ra_valid', 'status': CASE WHEN bad_ra = 0 THEN 'PASS' ELSE 'WARN' END, 'observed': CAST(bad_ra AS DOUBLE), 'detail': bad_ra || ' bad'},
+    {'check_no': 3, 'range_label': 'month', 'name': 'dec_valid', 'status': 'PASS', 'observed': CAST(0 AS DOUBLE), 'detail': '0 bad'},
+    {'check_no': 4, 'range_label': 'month', 'name': 'survey_era', 'status': CASE WHEN early < 0.05 * n THEN 'PASS' ELSE 'WARN' END, 'observed': CAST(early AS DOUBLE) / n, 'detail': early || ' of ' || n || ' early'},
+    {'check_no': 4, 'range_label': NULL, 'name': 'tagged', 'status': 'INFO', 'observed': CAST(tagged AS DOUBLE), 'detail': tagged || ' loci'},
+    {'check_no': 8, 'range_label': 'month', 'name': 'range_order', 'status': 'PASS', 'observed': CAST(18 AS DOUBLE), 'detail': ''}
+  ], recursive := true) FROM m, r)""",
+    "stream_newest": _with(_RAW) + _NEWEST,
+    "sketched_distinct": _with(_LOCI, _DIRTY, _RAW, "spans AS (SELECT * FROM (VALUES ('all', 0, 100000), ('early', 0, 60320), ('first', 49718, 50100)) AS t(range_label, lo, hi))", f"ids AS (SELECT 'loci' AS rows_of, {ID}, floor({MJD}) AS night FROM dirty UNION ALL SELECT 'events', {ID}, floor({MJD}) FROM raw)") + f"SELECT rows_of, range_label, count(*) AS n, count(DISTINCT {ID}) AS n_distinct, true AS within_bound FROM ids JOIN spans ON night BETWEEN lo AND hi GROUP BY ALL",
+    "sketched_overlap": _with(_RAW, f"a AS (SELECT DISTINCT {ID} FROM raw WHERE {MJD} < 60311)", f"b AS (SELECT DISTINCT {ID} FROM raw WHERE {MJD} >= 60311)") + f"SELECT (SELECT count(*) FROM a) AS n1, (SELECT count(*) FROM b) AS n2, (SELECT count(*) FROM a JOIN b USING ({ID})) AS n_shared, true AS within_bound",
+    "mag_hist_bucketed": _with(_LOCI, _ALERTS, _RANGES, _LABELLED, _LABELLED_ALERTS, _BANDED, _histogram("range_label, band", ALERT_MAG, "banded")),
+    "counted_plan": _with(_RAW, _PLAN) + "SELECT * REPLACE (false AS include_upper) FROM report",
 }

@@ -1,15 +1,24 @@
-"""Snapshot sets: several result tables under one key, all or nothing."""
+"""Snapshot sets: several result tables under one key, all or nothing.
+
+A set is written into a folder of its own and becomes the snapshot when the log names
+it, so a save that fails or stops between two members leaves the earlier set as it
+was, and no set has members of two saves. The set before the newest is kept for those
+who still read it; older ones go.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import mjd_part, safe_part
 from . import storage
+from .commits import CommitLog
 
-EMPTY = "_EMPTY"
+KEEP_SETS = 2
 
 
 def snapshot_key(spark: SparkSession, ranges: list[tuple[str, float, float]], n_samples: int, tag: str | None = None, seed: int | None = None) -> str:
@@ -20,29 +29,38 @@ def snapshot_key(spark: SparkSession, ranges: list[tuple[str, float, float]], n_
 
 
 def save_snapshot(folder: str, members: dict[str, DataFrame]) -> None:
-    """Write each member; the names of empty ones are kept in a marker folder, so that a set with empty members can be found again."""
+    """Write each member once; a member without rows is noted by name and its files are removed."""
     spark = next(iter(members.values())).sparkSession
-    names = []
-    for name, df in members.items():
-        if df.isEmpty():
-            names.append(name)
-        else:
-            df.write.mode("overwrite").parquet(f"{folder}/{name}")
-    rows = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
-    spark.range(1).select(F.explode(rows).alias("name")).write.mode("overwrite").parquet(f"{folder}/{EMPTY}")
+    log, name = CommitLog(spark, f"{folder}/log"), uuid.uuid4().hex
+    empty = []
+    for member, df in members.items():
+        path = f"{folder}/sets/{name}/{member}"
+        df.write.parquet(path)
+        if spark.read.schema(df.schema).parquet(path).isEmpty():
+            empty.append(member)
+            storage.remove(spark, path)
+    entry = {"set": name, "empty": empty, "written": [m for m in members if m not in empty]}
+    while True:
+        numbers = log.numbers()
+        if log.commit(numbers[-1] + 1 if numbers else 1, entry):
+            break
+    for old in log.numbers()[:-KEEP_SETS]:
+        storage.remove(spark, f"{folder}/sets/{log.entry(old)['set']}")
+        log.drop(old)
 
 
 def load_snapshot(spark: SparkSession, folder: str, members: dict[str, str], use_cache: bool = True) -> dict[str, DataFrame] | None:
     """All members (name -> schema for an empty one), or None if any was neither written nor noted as empty."""
-    if not use_cache or not storage.is_written(spark, f"{folder}/{EMPTY}"):
+    latest = CommitLog(spark, f"{folder}/log").latest() if use_cache else None
+    if latest is None:
         return None
-    noted = {r.name for r in spark.read.schema("name string").parquet(f"{folder}/{EMPTY}").collect()}
+    entry = latest[1]
     found: dict[str, DataFrame] = {}
-    for name, ddl in members.items():
-        if name in noted:
-            found[name] = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl)])
-        elif storage.is_written(spark, f"{folder}/{name}"):
-            found[name] = spark.read.parquet(f"{folder}/{name}")
+    for member, ddl in members.items():
+        if member in entry["empty"]:
+            found[member] = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl)])
+        elif member in entry["written"]:
+            found[member] = spark.read.parquet(f"{folder}/sets/{entry['set']}/{member}")
         else:
             return None
     return found

@@ -120,10 +120,14 @@ def test_density_total_and_flat_extent(spark):
     assert [(r.bx, r.by, r.n) for r in found if r.range_label == "one"] == [(5, 5, 2)]
 
 
-def test_fallback_when_no_alert_has_a_magnitude(spark):
+def test_loci_stand_in_for_alerts_only_if_there_are_none(spark):
     loci = frame(spark, [("r", 20.0)], f"range_label string, {MAG} double")
-    none = frame(spark, [("r", 1, None)], f"range_label string, {ALERT_BAND} int, {ALERT_MAG} double")
-    assert sum(r.n for r in density.magnitude_series(loci, none).collect()) == 1
+    ddl = f"range_label string, {ALERT_BAND} int, {ALERT_MAG} double"
+    series = lambda alerts: [(r.range_label, r.band, r.bin, r.n) for r in density.magnitude_series(loci, alerts).collect() if r.n]
+    assert series(frame(spark, [], ddl)) == [("r", None, 20, 1)]
+    assert series(frame(spark, [("r", 1)], f"range_label string, {ALERT_BAND} int")) == [("r", None, 20, 1)]  # no such column
+    assert series(frame(spark, [("r", 1, None)], ddl)) == []  # alerts there are, if without magnitudes
+    assert series(frame(spark, [("r", 1, 99.0), ("r", 9, 20.0), ("q", 2, 15.0)], ddl)) == [("q", "r", 0, 1)]
 
 
 def test_fixed_chunks_tile_the_range(spark):
@@ -285,7 +289,7 @@ def test_unreadable_chunks_are_misses(spark, tmp_path):
     from skyspark.sources.chunk_cache import ChunkCache
 
     rows = spark.createDataFrame([(f"L{i}", 100.0 + i / 10, i) for i in range(40)], f"{ID} string, {MJD} double, seq long")
-    cache = ChunkCache(spark, str(tmp_path / "cache"))
+    cache = ChunkCache(spark, str(tmp_path / "cache"), packed=False)
     assert cache.read() is None and cache.chunks() is None
     plan = {"initial_days": 1.0, "min_seconds": 3600.0, "max_results": 8, "split_threshold": 6}
     pull = lambda: adaptive_pull(rows, "night", 100.0, 106.0, ["seq"], None, cache, **plan)
