@@ -1,17 +1,25 @@
 """License statements in documents (operator 3).
 
-Each line of a text is judged, long ones in overlapping windows of words. A logistic regression on hashed word n-grams (one to three words)
-gives the odds of each license family and of "unknown", the class of ordinary
-text. It is trained here on statements composed from the family templates below
-against windows of a bounded sample of the corpus, and its confidence is
-calibrated on a part it did not learn from. Confirmed are all families of which a
-template is found: nearly all word pairs of one of its sentences, or one of its
-names beside a word of licensing. Templates are sought in blocks, the lines
-between two blank ones taken together, so a hard-wrapped statement is found and
-stands at its first line. What is only predicted counts as unconfirmed.
-
-Defined cases: a null or empty text has no paragraphs; lines of white space are
-none; repeated rows are scanned once each; further columns are ignored.
+Each line of a text is judged, long ones in overlapping windows of words, and so are the
+words around every place that looks like a template. A logistic regression on hashed word
+n-grams (one to three words) gives the odds of each license family and of "unknown", the
+class of ordinary text and of other licenses. It learns from statements in some wordings;
+in other wordings, and on licenses it never saw, its confidence is calibrated and the least
+odds of a prediction against "unknown" are chosen, so that of what is unknown there at most
+one in a hundred would pass (or the odds are MOST).
+
+What is predicted is then compared with the templates of its family: one of its sentences,
+of which nearly all word pairs must be there, one of its names beside a word of licensing, or,
+where a line is predicted as a whole, one of its short names beside such a word. A family
+counts as confirmed if both agree, so neither a template nor a prediction alone makes one.
+Templates are sought in blocks, the lines between two blank ones taken together, so a
+hard-wrapped statement is found and stands at its first line. A line that is only
+predicted counts as unconfirmed.
+
+Defined cases: a null or empty text has no paragraphs; lines of white space are none; a long
+line is judged in all its windows; of families that tie in a line the first by name is
+predicted; repeated rows are scanned once each; an empty table gives an empty result, also
+for training, which then knows only the statements here; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,9 +62,42 @@ SENTENCES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License"],
     "Unlicense": ["This is free and unencumbered software released into the public domain"],
 }
+#: Short names that confirm a predicted line, as words.
+SHORT = {
+    "AGPL-3.0": ["agpl", "agplv3", "affero"],
+    "Apache-2.0": ["apache", "asl"],
+    "BSD": ["bsd"],
+    "CC-BY": ["cc by", "creative commons attribution"],
+    "CC-BY-NC": ["cc by nc", "attribution noncommercial", "attribution non commercial"],
+    "CC-BY-SA": ["cc by sa", "attribution sharealike", "attribution share alike"],
+    "CC0": ["cc0", "cc zero"],
+    "GPL": ["gpl", "gplv2", "gplv3", "gnu general public"],
+    "ISC": ["isc"],
+    "LGPL": ["lgpl", "lgplv3", "lesser general public", "lesser gpl"],
+    "MIT": ["mit", "expat"],
+    "MPL-2.0": ["mpl", "mozilla"],
+    "Unlicense": ["unlicense"],
+}
 FRAMES = [
     "Licensed under {}", "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "Distributed under the terms of the {}.", "This software is available under {}",
     "License: {}", "SPDX-License-Identifier: {}", "This content is licensed under a {}.", "Published under {}.", "The code is covered by the {}.", "Dual licensed under {}", "Copyright 2021. All rights granted under {}.",
+    "You may copy and change this under the {} or any later version", "Use of this file is governed by the {}", "See the file COPYING for the {}", "All files here fall under {}",
+    "This is {} licensed software", "The {} licence applies to the sources", "licensed {}",
+]
+#: Wordings that are not learned from but calibrated with.
+HELD_FRAMES = [
+    "The contents of this page are offered under {}", "This project uses the {} license", "Source code in this directory may be redistributed under terms of {}.", "Unless noted otherwise, {} applies to this document.", "Available under {} from the author",
+]
+#: Statements of other licenses, for the unknown class: the first are learned from, the others calibrated with.
+OTHERS = [
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    "Licensed under the zlib License.", "Eclipse Public License - v 2.0", "This program is made available under the terms of the Eclipse Public License 2.0", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE", "Released under the WTFPL",
+    "The Artistic License 2.0", "Licensed under the Academic Free License version 3.0", "Common Development and Distribution License (CDDL) Version 1.0", "Licensed under the EUPL", "Open Font License Version 1.1", "All rights reserved.", "This is proprietary software. A commercial license is required.",
+]
+HELD_OTHERS = [
+    "Boost Software License - Version 1.0", "Distributed under the Boost Software License, Version 1.0.", "Permission is hereby granted to any person or organization obtaining a copy of the software covered by this license", "PostgreSQL License", "Python Software Foundation License Version 2",
+    "This font is licensed under the SIL Open Font License", "Microsoft Public License (Ms-PL)", "Released under the Beerware license", "Open Software License 3.0", "The end user license agreement applies", "Licensed to the customer under the terms of the sales contract", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License",
 ]
 LICENSING = {"license", "licensed", "licence", "licenced", "licensing", "under", "terms", "released", "distributed", "spdx", "identifier", "copyright", "dedication", "published", "covered"}
 #: Ordinary sentences with words of licensing, for the unknown class.
@@ -69,7 +110,9 @@ BUCKETS = 1 << 15
 #: Bound of the corpus sample for the unknown class: documents and windows.
 SAMPLE_DOCS = 400
 SAMPLE_WINDOWS = 8000
-PROBABILITY = 0.5
+#: Share of the unknown that may pass as predicted, and between what the least odds are chosen.
+PASS_SHARE = 0.01
+LEAST, MOST = 0.5, 0.9
 TEMPLATE_SHARE = 0.8
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -103,6 +146,13 @@ def _pairs(words: list[bytes]) -> set[tuple[bytes, ...]]:
 
 _NAME_WORDS = {f: [b" " + b" ".join(words_of(n.encode())) + b" " for n in names] for f, names in NAMES.items()}
 _LICENSING = {w.encode() for w in LICENSING}
+_SHORT = {f: [b" " + n.encode() + b" " for n in names] for f, names in SHORT.items()}
+
+
+def short_name(family: str, words: list[bytes]) -> bool:
+    """Whether the words hold a short name of the family and one of licensing."""
+    text = b" " + b" ".join(words) + b" "
+    return not _LICENSING.isdisjoint(words) and any(n in text for n in _SHORT[family])
 
 
 @dataclass(frozen=True)
@@ -182,11 +232,18 @@ def template_families(words: list[bytes]) -> set[str]:
     return {f for f, _, _ in template_matches(words)}
 
 
+def odds(p: np.ndarray) -> np.ndarray:
+    """Of each family (all but the first column) against "unknown" alone, so that two families in one window don't weaken each other."""
+    return p[:, 1:] / (p[:, 1:] + p[:, :1])
+
+
 @dataclass
 class LicenseModel:
     weights: np.ndarray  # buckets x families
     bias: np.ndarray
     temperature: float = 1.0
+    #: A predicted family has odds against "unknown" above this.
+    threshold: float = LEAST
 
     def logits(self, windows: list[list[bytes]]) -> np.ndarray:
         buckets, owners = _features(windows)
@@ -206,33 +263,28 @@ class LicenseModel:
         p = np.exp(z)
         return p / p.sum(axis=1, keepdims=True)
 
-    def train(self, windows: list[list[bytes]], labels: np.ndarray, epochs: int = 12) -> None:
-        """Softmax regression by full-batch steps with per-weight scaling; the last fifth sets the temperature."""
-        rng = np.random.default_rng(3)
-        order = rng.permutation(len(windows))
-        cut = len(order) * 4 // 5
-        fitted = [windows[i] for i in order[:cut]]
-        target = labels[order[:cut]]
-        buckets, owners = _features(fitted)
-        size = np.sqrt(np.bincount(owners, minlength=len(fitted)))
+    def train(self, windows: list[list[bytes]], target: np.ndarray, epochs: int = 12) -> None:
+        """Softmax regression on shares of families (windows x families) by full-batch steps with per-weight scaling."""
+        buckets, owners = _features(windows)
+        size = np.sqrt(np.bincount(owners, minlength=len(windows)))
         scale = np.full(self.weights.shape, 1e-8, np.float32)
         for _ in range(epochs * 5):
-            p = self.probabilities(fitted)
-            p[np.arange(len(target)), target] -= 1
-            p /= np.maximum(size, 1)[:, None]
+            p = (self.probabilities(windows) - target) / np.maximum(size, 1)[:, None]
             for k in range(len(FAMILIES)):
                 g = np.bincount(buckets, p[owners, k], BUCKETS).astype(np.float32)
                 scale[:, k] += g * g
                 self.weights[:, k] -= 0.5 * g / np.sqrt(scale[:, k])
-        held = [windows[i] for i in order[cut:]]
-        if held:
-            z, y = self.logits(held), labels[order[cut:]]
-            loss = {}
-            for t in np.geomspace(0.25, 4, 17):
-                q = z / t
-                q = q - q.max(axis=1, keepdims=True)
-                loss[t] = -(q[np.arange(len(y)), y] - np.log(np.exp(q).sum(axis=1))).mean()
-            self.temperature = float(min(loss, key=loss.get))
+
+    def calibrate(self, windows: list[list[bytes]], labels: np.ndarray) -> None:
+        """Temperature and least odds from windows that nothing was learned from."""
+        z, loss = self.logits(windows), {}
+        for t in np.geomspace(0.25, 4, 17):
+            q = z / t
+            q = q - q.max(axis=1, keepdims=True)
+            loss[t] = -(q[np.arange(len(labels)), labels] - np.log(np.exp(q).sum(axis=1))).mean()
+        self.temperature = float(min(loss, key=loss.get))
+        unknown = odds(self.probabilities([w for w, k in zip(windows, labels) if not k])).max(axis=1)
+        self.threshold = float(np.clip(np.quantile(unknown, 1 - PASS_SHARE), LEAST, MOST)) if len(unknown) else LEAST
 
     def scan_text(self, text: str | None) -> list[tuple[int, str, float, bool]]:
         return self.scan([text])[0]
@@ -240,19 +292,28 @@ class LicenseModel:
     def scan(self, texts: list[str | None]) -> list[list[tuple[int, str, float, bool]]]:
         """For each text its lines that state a license: line number, family, probability, confirmed."""
         best: list[dict[tuple[int, str], tuple[bool, float]]] = [{} for _ in texts]
-        inside: list[set[tuple[int, str]]] = [set() for _ in texts]  # lines of confirmed statements
+        heads: list[set[tuple[int, str]]] = [set() for _ in texts]  # first lines of confirmed statements, and all of them
+        inside: list[set[tuple[int, str]]] = [set() for _ in texts]
         windows: list[list[bytes]] = []
-        places: list[tuple[int, int, str | None]] = []  # text, line, family if confirmed
+        places: list[tuple[int, int, str | None, set[int]]] = []  # text, line, and if a template is there its family and lines
 
         def judge() -> None:
             p = self.probabilities(windows)
-            top = p.argmax(axis=1)
-            stated = (top > 0) & (p[np.arange(len(p)), top] >= PROBABILITY)
-            for i, (number, line, family) in enumerate(places):
-                if family is not None or stated[i]:
-                    k = FAMILIES.index(family) if family is not None else top[i]
+            top, against = p[:, 1:].argmax(axis=1) + 1, odds(p)
+            for i, (number, line, family, lines) in enumerate(places):
+                if family is None:
+                    k = int(top[i])
+                    stated = bool(against[i, k - 1] > self.threshold)
+                    sure = stated and short_name(FAMILIES[k], windows[i])
+                else:
+                    k = FAMILIES.index(family)
+                    stated = sure = bool(against[i, k - 1] > self.threshold)
+                    if sure:
+                        heads[number].add((line, family))
+                        inside[number] |= {(x, family) for x in lines}
+                if stated:
                     key = (line, FAMILIES[k])
-                    best[number][key] = max(best[number].get(key, (False, 0.0)), (family is not None, float(p[i, k])))
+                    best[number][key] = max(best[number].get(key, (False, 0.0)), (sure, float(p[i, k])))
             windows.clear()
             places.clear()
 
@@ -264,21 +325,21 @@ class LicenseModel:
                 if some:
                     for lo, hi in windows_of(some):
                         windows.append(some[lo:hi])
-                        places.append((number, line, None))
+                        places.append((number, line, None, set()))
                     words += some
                     lines += [line] * len(some)
                 if words and not paragraph.strip():
                     for family, first, end in template_matches(words):
                         lo = max(0, min(first, (first + end - WINDOW) // 2))
                         windows.append(words[lo : lo + WINDOW])
-                        places.append((number, lines[first], family))
-                        inside[number] |= {(x, family) for x in lines[first:end]}
+                        places.append((number, lines[first], family, set(lines[first:end])))
                     words, lines = [], []
                 if len(windows) >= 20_000:
                     judge()
         if windows:
             judge()
-        return [sorted((line, family, score, sure) for (line, family), (sure, score) in x.items() if sure or (line, family) not in y) for x, y in zip(best, inside)]
+        # a confirmed statement stands at its first line alone
+        return [sorted((*key, score, sure) for key, (sure, score) in x.items() if key in h or key not in y) for x, y, h in zip(best, inside, heads)]
 
     def paragraphs(self, docs: DataFrame) -> DataFrame:
         """One row for each paragraph that states a license: doc_id, line, family, score, confirmed."""
@@ -317,29 +378,43 @@ def _picked(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def statements() -> list[tuple[str, str]]:
-    """(family, statement) from every name in every frame, and the sentences."""
-    composed = [(f, frame.format(name)) for f, names in NAMES.items() for name in names for frame in FRAMES]
-    return composed + [(f, s) for f, sentences in SENTENCES.items() for s in sentences for _ in range(len(FRAMES))]
+def statements(frames: list[str]) -> list[tuple[str, str]]:
+    """(family, statement) from every name, full or short, in every frame, and the sentences."""
+    names = [(f, name) for f in NAMES for name in [*NAMES[f], *(n.upper() for n in SHORT[f])]]
+    return [(f, frame.format(name)) for f, name in names for frame in frames] + [(f, s) for f, sentences in SENTENCES.items() for s in sentences for _ in frames]
 
 
 def train(corpus: list[list[bytes]]) -> LicenseModel:
-    """Learn from composed statements, some amid corpus words, against corpus windows that hold no template."""
+    """Learn from composed statements, alone, by twos and amid corpus words, against other licenses and corpus windows that hold no template; calibrate in other wordings."""
     rng = random.Random(5)
     plain = [w for w in corpus if w and not template_families(w)]
-    windows, labels = [], []
-    for family, statement in statements():
-        words = words_of(statement.encode())
-        for _ in range(2):
-            some = rng.choice(plain) if plain and rng.random() < 0.5 else []
-            cut = rng.randint(0, min(len(some), max(0, WINDOW - len(words))))
-            windows.append(words + some[:cut] if rng.random() < 0.5 else some[:cut] + words)
-            labels.append(FAMILIES.index(family))
-    ordinary = [words_of(x.encode()) for x in ORDINARY for _ in range(5)] + [words_of(f.format("").encode()) for f in FRAMES]
-    windows += plain + ordinary
-    labels += [0] * (len(plain) + len(ordinary))
+    cut = len(plain) * 4 // 5
     model = LicenseModel(np.zeros((BUCKETS, len(FAMILIES)), np.float32), np.zeros(len(FAMILIES), np.float32))
-    model.train(windows, np.array(labels))
+
+    def composed(frames: list[str], around: list[list[bytes]]) -> list[tuple[list[bytes], list[str]]]:
+        out, stated = [], statements(frames)
+        for family, statement in stated:
+            words = words_of(statement.encode())
+            some = rng.choice(around) if around and rng.random() < 0.5 else []
+            part = rng.randint(0, min(len(some), max(0, WINDOW - len(words))))
+            out.append((words + some[:part] if rng.random() < 0.5 else some[:part] + words, [family]))
+            other, second = rng.choice(stated)
+            if other != family:
+                out.append((words + rng.choice([b"or", b"and"]).split() + words_of(second.encode()), [family, other]))
+        return out
+
+    known = composed(FRAMES, plain[:cut])
+    unknown = [*plain[:cut], *(words_of(x.encode()) for x in (*ORDINARY, *OTHERS) for _ in range(5)), *(words_of(f.format("").encode()) for f in FRAMES)]
+    windows = [w for w, _ in known] + unknown
+    target = np.zeros((len(windows), len(FAMILIES)), np.float32)
+    for i, (_, families) in enumerate(known):
+        for f in families:
+            target[i, FAMILIES.index(f)] = 1 / len(families)
+    target[len(known) :, 0] = 1
+    model.train(windows, target)
+    held = [(w, FAMILIES.index(f[0])) for w, f in composed(HELD_FRAMES, plain[cut:]) if len(f) == 1]
+    held += [(w, 0) for w in (*plain[cut:], *(words_of(x.encode()) for x in HELD_OTHERS))]
+    model.calibrate([w for w, _ in held], np.array([k for _, k in held]))
     return model
 
 
