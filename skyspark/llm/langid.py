@@ -9,9 +9,10 @@ a step to a few vector operations on thousands of windows at once.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; of
 languages that tie the first in order is taken; a long text is labelled whole,
-a bounded number of windows at a time; rows without a language are not learned
-from; if nothing can be learned every text is ``und``; repeated rows are labelled
-once each; an empty table gives an empty result; further columns are ignored by
+a bounded number of windows at a time; rows without a language or labelled ``und`` are not
+learned from; if nothing can be learned every text is ``und``; a row is learned with its
+own language, whatever other rows of its doc_id say, and a row given twice counts twice;
+repeated rows are labelled once each; an empty table gives an empty result; further columns are ignored by
 ``predict`` and kept by ``annotate``.
 """
 
@@ -245,7 +246,7 @@ def sample_documents(docs: DataFrame, most: int) -> DataFrame:
     for keys in (["lang", "_group"], ["lang"]):  # the lowest of all are among the lowest of the groups
         by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
         first = first.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= most)
-    return first.select("doc_id", "lang")
+    return first.select("doc_id", "lang").distinct()
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> LanguageModel:
@@ -275,7 +276,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = S
             columns = [[r.tobytes() for r in rows], counts, [numbers[langs[i]] for i in owner], [ids[i] for i in owner], np.arange(len(rows))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()])], ["bytes", "counts", "label", "doc_id", "number"])
 
-    texts = _picked(docs).join(picked, "doc_id").select("doc_id", "text", "lang")
+    # a row is learned with its own language, also where rows of other languages share its id
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    texts = rows.join(picked, ["doc_id", "lang"]).select("doc_id", "text", "lang")
     cuts = texts.mapInArrow(cut, "bytes binary, counts long, label int, doc_id long, number long")
     # short texts teach little by number, so they are put first
     order = Window.partitionBy("label").orderBy(F.col("counts") == STEPS, F.xxhash64("doc_id", "number"), "doc_id", "number")
