@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.mjd import SECONDS_PER_DAY, days_to_seconds
 from ..functions.text import pull_key, safe_part
 from ..schema import MJD, empty
-from ..sources.chunk_cache import PARTS, ChunkCache, Known
+from ..sources.chunk_cache import BOUNDS, PARTS, ChunkCache, Known
 from ..sources.counts import DEPTH
 from ..sources.storage import written
 from .dedupe import newest_per_locus
@@ -86,27 +86,27 @@ def _windows(units: DataFrame, label: str, lo: float, hi: float, plan: Plan, tag
     levels = levels.withColumn("k", F.floor(F.col("_k") / F.pow(F.lit(2.0), F.col("_d") - F.col("d"))).cast("long"))
     here = F.col("_d") == F.col("d")
     nodes = levels.groupBy("i", "d", "k").agg(F.sum("n").alias("n"), F.bool_or(F.col("held") & here).alias("held"), F.bool_or(F.col("held") & ~here).alias("above"))
-    can_split = grid.size_at(F.col("i"), F.col("d")) > F.lit(1.01 * grid.min_days)
+    start, end = grid.root(F.col("i"))
+    can_split = (end - start) / F.pow(F.lit(2.0), F.col("d")) > F.lit(1.01 * grid.min_days)
     full = F.col("n") >= grid.threshold
-    split = nodes.filter(~F.col("held") & (F.col("above") | (full & can_split)))
+    splits = ~F.col("held") & (F.col("above") | (full & can_split))
+    split = nodes.filter(splits)
     children = split.select("i", (F.col("d") + 1).alias("d"), F.explode(F.array(F.col("k") * 2, F.col("k") * 2 + 1)).alias("k"))
     roots = spark.range(grid.n_chunks if lo <= hi else 0).select(F.col("id").alias("i"), F.lit(0).alias("d"), F.lit(0).cast("long").alias("k"))
     attempted = roots.unionByName(children).join(nodes, ["i", "d", "k"], "left")
     no = F.lit(False)
     attempted = attempted.withColumns({"n": F.coalesce("n", F.lit(0).cast("long")), "held": F.coalesce("held", no), "above": F.coalesce("above", no)})
-    splits = ~F.col("held") & (F.col("above") | (full & can_split))
-    low, high, upper = grid.bounds(F.col("i"), F.col("d"), F.col("k"))
-    return attempted.select(
+    return grid.placed(attempted).select(
         F.lit(label).alias("label"),
-        low.alias("mjd_min"),
-        high.alias("mjd_max"),
-        days_to_seconds(grid.size_at(F.col("i"), F.col("d"))).alias("width_seconds"),
+        "mjd_min",
+        "mjd_max",
+        days_to_seconds(F.col("size")).alias("width_seconds"),
         F.least("n", F.lit(grid.max_results).cast("long")).alias("n_loci"),
         F.when(splits, "split").when(full, "accepted_at_minimum_saturated").otherwise("accepted").alias("status"),
         F.when(F.col("held"), "cache").otherwise("live").alias("source"),
-        upper.alias("include_upper"),
+        "include_upper",
         F.lit(None).cast("string").alias("error"),
-        "i", "d", "k", *[c.alias(name) for name, c in grid.keys(label, tag, F.col("i"), F.col("d"), F.col("k")).items()],
+        "i", "d", "k", safe_part(F.lit(label)).alias("label_key"), safe_part(F.lit(tag).cast("string")).alias("tag_key"), "chunk_key",
     )
 
 
@@ -146,19 +146,14 @@ class Grid:
     def root(self, i: Column) -> tuple[Column, Column]:
         return _edges(i, self.lo, self.hi, self.width)
 
-    def size_at(self, i: Column, d: Column) -> Column:
-        start, end = self.root(i)
-        return (end - start) / F.pow(F.lit(2.0), d)
-
-    def bounds(self, i: Column, d: Column, k: Column) -> tuple[Column, Column, Column]:
-        """mjd_min, mjd_max and whether the upper end belongs to the window."""
-        start, _ = self.root(i)
-        size = self.size_at(i, d)
-        upper = (i == self.n_chunks - 1) & (k == F.pow(F.lit(2.0), d).cast("long") - 1)
-        return start + k * size, start + (k + 1) * size, upper
-
-    def keys(self, label: str, tag: str | None, i: Column, d: Column, k: Column) -> dict[str, Column]:
-        return {"label_key": safe_part(F.lit(label)), "tag_key": safe_part(F.lit(tag).cast("string")), "chunk_key": pull_key(*self.bounds(i, d, k), self.max_results, self.threshold)}
+    def placed(self, windows: DataFrame) -> DataFrame:
+        """Windows (i, d, k) with their size, bounds (mjd_min, mjd_max, include_upper) and ``chunk_key``."""
+        start, end = self.root(F.col("i"))
+        parts = F.pow(F.lit(2.0), F.col("d"))
+        sized = windows.withColumns({"_start": start, "size": (end - start) / parts})
+        upper = (F.col("i") == self.n_chunks - 1) & (F.col("k") == parts.cast("long") - 1)
+        bounded = sized.withColumns({"mjd_min": F.col("_start") + F.col("k") * F.col("size"), "mjd_max": F.col("_start") + (F.col("k") + 1) * F.col("size"), "include_upper": upper})
+        return bounded.drop("_start").withColumn("chunk_key", pull_key(F.col("mjd_min"), F.col("mjd_max"), F.col("include_upper"), self.max_results, self.threshold))
 
 
 def _counted(rows: DataFrame, lo: float, hi: float, grid: Grid) -> DataFrame:
@@ -208,10 +203,10 @@ def status_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("status").agg(F.count("*").alias("n"))
 
 
-def _held(known: Known | None, label: str, tag: str | None, grid: Grid, spark: SparkSession) -> DataFrame:
+def _held(known: Known | None, grid: Grid, spark: SparkSession) -> DataFrame:
     """Units of the cached windows of this plan that lie in no other cached one, with their leaves [start, stop)."""
     if known is None:
-        return empty(spark, "i long, d int, k long, n long, held boolean, start long, stop long")
+        return empty(spark, f"i long, d int, k long, n long, held boolean, start long, stop long, {', '.join(f'{c} string' for c in PARTS)}")
     notes = known.chunks.filter(F.col("mjd_min").isNotNull())
     middle = (F.col("mjd_min") + F.col("mjd_max")) / 2
     placed = notes.filter(middle.between(grid.lo, grid.hi)).withColumn("i", chunk_of(middle, grid.lo, grid.hi, grid.width))
@@ -220,9 +215,9 @@ def _held(known: Known | None, label: str, tag: str | None, grid: Grid, spark: S
     placed = placed.withColumn("d", F.round(F.log2(parts)).cast("int")).filter(F.col("d").between(0, grid.depth))
     share = F.when(end > start, (middle - start) / (end - start)).otherwise(F.lit(0.0))
     placed = placed.withColumn("k", F.floor(share * F.pow(F.lit(2.0), F.col("d"))).cast("long"))
-    placed = placed.filter(F.col("chunk_key") == grid.keys(label, tag, F.col("i"), F.col("d"), F.col("k"))["chunk_key"])
+    placed = grid.placed(placed.drop(*BOUNDS).withColumnRenamed("chunk_key", "_key")).filter(F.col("chunk_key") == F.col("_key"))
     size = F.pow(F.lit(2.0), F.lit(grid.depth) - F.col("d")).cast("long")
-    placed = placed.select("i", "d", "k", "n", F.lit(True).alias("held"), (F.col("k") * size).alias("start"), ((F.col("k") + 1) * size).alias("stop"))
+    placed = placed.select("i", "d", "k", "n", F.lit(True).alias("held"), (F.col("k") * size).alias("start"), ((F.col("k") + 1) * size).alias("stop"), *PARTS)
     before = Window.partitionBy("i").orderBy("start", "d").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("_reach", F.coalesce(F.max("stop").over(before), F.lit(0).cast("long"))).filter("stop > _reach").drop("_reach")
 
@@ -276,18 +271,17 @@ def adaptive_pull(
     spark = loci.sparkSession
     label_key, tag_key = spark.range(1).select(safe_part(F.lit(label)), safe_part(F.lit(tag).cast("string"))).first()
     known = cache.known(label_key, tag_key)
-    held = _held(known, label, tag, grid, spark)
+    held = _held(known, grid, spark)
+    held = held if known is None else written(held, "chunks-held")  # a row for each chunk
     gaps = _gaps(held, grid, spark)
     if known is not None and not gaps:
-        windows = _windows(held, label, lo, hi, plan, tag)
-        pulled = known.read(windows.filter(F.col("status") != "split"))
-        return newest_per_locus(pulled.drop(*PARTS), tie), windows.select(REPORT)
+        return newest_per_locus(known.read(held).drop(*PARTS), tie), _windows(held.drop("start", "stop", *PARTS), label, lo, hi, plan, tag).select(REPORT)
     near = reduce(Column.__or__, [F.col(MJD).between(a - 1e-6, b + 1e-6) for a, b in gaps], F.lit(False))
     open_rows = _placed(rows.filter(near), lo, hi, grid.width, grid.depth)
     leaves = written(open_rows.groupBy("i", "leaf").agg(F.count("*").alias("n")), "chunk-leaves")
     covered = _ancestors(leaves.select("i", "leaf"), grid.depth).join(held.select("i", "d", "k"), ["i", "d", "k"], "left_semi").select("i", "leaf")
     fresh = leaves.join(covered, ["i", "leaf"], "left_anti").select("i", F.lit(grid.depth).alias("d"), F.col("leaf").alias("k"), "n", F.lit(False).alias("held"))
-    windows = written(_windows(held.drop("start", "stop").unionByName(fresh), label, lo, hi, plan, tag), "chunk-plan")  # decided before the cache changes
+    windows = written(_windows(held.drop("start", "stop", *PARTS).unionByName(fresh), label, lo, hi, plan, tag), "chunk-plan")  # decided before the cache changes
     accepted = windows.filter(F.col("status") != "split")
     missed = accepted.filter(F.col("source") == "live")
     place = _ancestors(leaves.select("i", "leaf"), grid.depth).join(missed.select("i", "d", "k", *PARTS), ["i", "d", "k"]).select("i", "leaf", *PARTS)

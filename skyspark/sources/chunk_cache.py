@@ -112,10 +112,11 @@ class Known:
         # files of this part of the manifest, whose names pass the driver as those of any table's files do
         self.files = notes.select("file", "file_bytes", "file_rows", "row_schema").distinct().collect()
         self.sound = self._sound()
-        sound = self.spark.createDataFrame([(f,) for f in self.sound], "file string").withColumn("_sound", F.lit(True))
-        found = F.coalesce(F.sum(F.when(F.col("_sound"), F.col("file_chunk_rows"))), F.lit(0).cast("long"))
-        chunks = notes.join(sound, "file", "left").groupBy(*PARTS, *BOUNDS, "status", "n").agg(found.alias("_found"))
-        self.chunks = chunks.filter(F.col("_found") == F.col("n")).drop("_found")
+        chunks = notes.dropDuplicates(PARTS).select(*PARTS, *BOUNDS, "status", "n")
+        bad = [r.file for r in self.files if r.file is not None and r.file not in self.sound]
+        if bad:  # a chunk with rows in one of these is none
+            chunks = chunks.join(notes.filter(F.col("file").isin(bad)).select(*PARTS), PARTS, "left_anti")
+        self.chunks = chunks
 
     def _sound(self) -> set[str]:
         """Noted files whose length and rows are as noted. Lengths come from the folders' listings, rows from the footers."""
@@ -133,16 +134,14 @@ class Known:
         return {r.file for n, r in likely.items() if rows.get(n) == r.file_rows}
 
     def read(self, wanted: DataFrame | None = None) -> DataFrame:
-        """Rows, with the key columns, of the sound chunks, or of those among them that are ``wanted`` (key columns)."""
+        """Rows, with the key columns, of the sound chunks, or of some of them: the key columns of ``chunks`` that are ``wanted``."""
         schemas: dict[str, list[str]] = {}
         for r in self.files:
             schemas.setdefault(r.row_schema, []).extend([r.file] if r.file in self.sound else [])
         if not schemas:
             return empty(self.spark, ", ".join(f"{c} string" for c in PARTS))
         rows = union_all(*[self._rows(StructType.fromJson(json.loads(text)), files) for text, files in schemas.items()])
-        keys = self.notes.filter(F.col("file").isNotNull()).select(*PARTS, "file").join(self.chunks.select(*PARTS), PARTS, "left_semi")
-        if wanted is not None:
-            keys = keys.join(wanted.select(*PARTS), PARTS, "left_semi")
+        keys = self.notes.filter(F.col("file").isNotNull()).select(*PARTS, "file").join((self.chunks if wanted is None else wanted).select(*PARTS), PARTS, "left_semi")
         # a chunk written again lies in an older file too, so rows go by chunk and file
         return rows.join(keys, [*PARTS, "file"], "left_semi").drop("file")
 

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from skyspark.operators import chunks
-from skyspark.schema import ID, LOCI, MJD
+from skyspark.schema import ID, MJD
 from skyspark.sources import storage
 from skyspark.sources.chunk_cache import ChunkCache
 from skyspark.sources.commits import CommitLog
@@ -235,6 +235,15 @@ def source(spark, n=60):
     return frame(spark, [(f"L{i % 45}", 100.0 + i / 10, i) for i in range(n)])
 
 
+def wanted(lo=100.0, hi=107.0, n=60):
+    """What a pull of ``source`` gives."""
+    best = {}
+    for i in range(n):
+        if lo <= 100.0 + i / 10 <= hi:
+            best[f"L{i % 45}"] = (f"L{i % 45}", 100.0 + i / 10, i)
+    return sorted(best.values())
+
+
 def pull(rows, cache, lo=100.0, hi=107.0, **options):
     found, report = chunks.adaptive_pull(rows, "night", lo, hi, ["seq"], None, cache, **{**PLAN, **options})
     return sorted((r[ID], r[MJD], r.seq) for r in found.select(ID, MJD, "seq").collect()), {(round(r.mjd_min, 6), round(r.mjd_max, 6)): (r.n_loci, r.status, r.source) for r in report.collect()}
@@ -246,7 +255,7 @@ def test_a_cached_range_is_pulled_without_its_source(spark, tmp_path):
     watched = rows.withColumn("seq", F.udf(lambda x: (seen.add(1), x)[1], "long").asNondeterministic()(F.col("seq")))
     plain, report = pull(rows, None)
     first, _ = pull(watched, cache)
-    assert first == plain and seen.value > 0
+    assert first == plain == wanted() and seen.value > 0
     seen.value = 0
     again, cached = pull(watched, cache)
     assert again == plain and seen.value == 0
@@ -260,7 +269,7 @@ def test_the_source_is_read_for_what_is_not_cached(spark, tmp_path):
     pull(rows, cache, 100.0, 103.0)
     watched = rows.withColumn("seq", F.udf(lambda x: (seen.add(1), x)[1], "long").asNondeterministic()(F.col("seq")))
     wide, report = pull(watched, cache)
-    assert wide == pull(rows, None)[0]
+    assert wide == wanted()
     # the last window of the first pull had a closed end, so it is another chunk
     assert {k for k, v in report.items() if v[2] == "cache"} == {(100.0, 100.5), (100.5, 101.0), (101.0, 101.5), (101.5, 102.0), (102.0, 102.5), (102.5, 102.75)}
     assert 0 < seen.value <= 3 * 35  # rows from 102.75 on, in three passes at most
@@ -269,7 +278,7 @@ def test_the_source_is_read_for_what_is_not_cached(spark, tmp_path):
 def test_files_of_other_chunks_are_not_opened(spark, tmp_path):
     cache = ChunkCache(spark, f"{tmp_path}/c")
     rows = source(spark)
-    for lo in (100.0, 102.0, 104.0):
+    for lo in (100.0, 102.0):
         pull(rows, cache, lo, lo + 1.0)
     known = cache.known("night", "all")
     assert len(known.files) == len(known.sound) + sum(r.file is None for r in known.files)
@@ -295,7 +304,7 @@ def test_a_packed_file_that_is_damaged_misses_its_chunks_only(spark, tmp_path):
     part.write_bytes(part.read_bytes()[:-9])
     found, report = pull(rows, cache, 100.0, 104.0)
     live = {k for k, v in report.items() if v[2] == "live" and v[1] != "split"}
-    assert found == before == pull(rows, None, 100.0, 104.0)[0] and live and live < {k for k, v in report.items() if v[1] != "split"}
+    assert found == before == wanted(100.0, 104.0) and live and live < {k for k, v in report.items() if v[1] != "split"}
     assert {v[2] for v in pull(rows, cache, 100.0, 104.0)[1].values() if v[1] != "split"} == {"cache"}
 
 
@@ -303,8 +312,8 @@ def test_other_settings_and_tags_are_other_chunks(spark, tmp_path):
     cache = ChunkCache(spark, f"{tmp_path}/c")
     rows = source(spark)
     pull(rows, cache)
-    assert {v[2] for v in pull(rows, cache, max_results=20, split_threshold=15)[1].values()} == {"live"}
-    assert pull(rows, cache, max_results=20, split_threshold=15)[0] == pull(rows, None)[0]
+    found, report = pull(rows, cache, max_results=20, split_threshold=15)
+    assert {v[2] for v in report.values()} == {"live"} and found == wanted()
 
 
 def test_chunks_of_two_schemas(spark, tmp_path):
@@ -334,10 +343,8 @@ def test_a_window_that_holds_a_cached_one_is_split_around_it(spark, tmp_path):
 def test_empty_and_reversed_ranges(spark, tmp_path):
     cache = ChunkCache(spark, f"{tmp_path}/c")
     none = source(spark).filter("false")
-    for _ in range(2):
-        assert pull(none, cache)[0] == []
-    assert {v[2] for v in pull(none, cache)[1].values()} == {"cache"}
+    assert pull(none, cache)[0] == []
+    found, report = pull(none, cache)
+    assert found == [] and {v[2] for v in report.values()} == {"cache"}
     assert pull(source(spark), cache, 5.0, 4.0) == ([], {})
-    one = pull(source(spark), cache, 101.0, 101.0)
-    assert one == pull(source(spark), cache, 101.0, 101.0)[:1] + (one[1],) and len(one[0]) == 1
-    assert LOCI  # the typed schema is what an absent store gives
+    assert pull(source(spark), cache, 101.0, 101.0)[0] == wanted(101.0, 101.0) and len(wanted(101.0, 101.0)) == 1
