@@ -4,7 +4,6 @@ import math
 import random
 
 import duckdb
-import numpy as np
 import pytest
 import zstandard
 from llm_samples import docs_frame
